@@ -10,6 +10,7 @@ needs more than one document at a time.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -22,10 +23,8 @@ from strandlake.llm.common import materialize, read_table
 
 MAX_LEN = 4096
 END_ID = 2
-#: Chunks of text whose ids a worker remembers.
-CACHE_CHUNKS = 300_000
-#: Stands alone between chunks that are encoded in one call.
-MARK = "␞"
+#: Chunks, and words, whose ids a worker remembers: about 200 MB.
+CACHE_CHUNKS = 500_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PIECES_IDS = PIECES + ", ids array<int>"
@@ -37,51 +36,67 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
+class Encoder(dict):
     """Token ids of texts as little-endian unsigned 32-bit bytes, remembered by chunks between white space.
 
     The tokenizer drops white space and never joins what white space parts, so a text's ids
-    are its chunks' ids in order.
+    are its chunks' ids in order. A chunk of plain letters, with a mark behind it or not, is
+    looked up by its lower-cased word, and a new word goes to the vocabulary's merges at
+    once; any other chunk goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.mark = self._ids(MARK)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if MARK not in c]
-        ids = self._ids(f" {MARK} ".join(plain)) if plain else self.mark[:0]
-        width = len(self.mark)
-        at = np.flatnonzero(ids == self.mark[0])
-        for k in range(1, width):  # the mark's own ids in a row
-            at = at[(at + k < len(ids))]
-            at = at[ids[at + k] == self.mark[k]]
-        if plain and len(at) == len(plain) - 1:
-            starts, ends = np.append(0, at + width), np.append(at, len(ids))
-            raw = ids.tobytes()
-            for c, s, e in zip(plain, (4 * starts).tolist(), (4 * ends).tolist()):
-                self.known[c] = raw[s:e]
-            chunks = [c for c in chunks if MARK in c]
-        for c in chunks:
-            self.known[c] = self._ids(c).tobytes()
+        self.model = self.tokenizer.model
+        self.words: dict[str, bytes] = {}
+
+    def _merged(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_SPELLED)
+            found = self.words[word] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        return found
+
+    def __missing__(self, chunk: str) -> bytes:
+        plain = _PLAIN.fullmatch(chunk)
+        if plain is None:
+            ids = self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0].ids
+            found = np.array(ids, "<u4").tobytes()
+        else:
+            found = self._merged(plain[1].lower())
+            if plain[2]:
+                found += self._merged(plain[2])
+        self[chunk] = found
+        return found
 
     def encode(self, text: str | None) -> bytes:
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else []
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        known = self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        for i in range(0, len(new), 50_000):
-            self._learn(new[i : i + 50_000])
-        return b"".join(map(known.__getitem__, chunks))
+        if not text:
+            return b""
+        if len(self) > CACHE_CHUNKS:
+            self.clear()
+        if len(self.words) > CACHE_CHUNKS:
+            self.words.clear()
+        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.__getitem__, chunks))
+
+
+#: Latin letters that lower-casing keeps one letter, then at most one mark.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)")
+#: How byte-level vocabularies spell bytes that aren't printable: from 256 on, in order.
+_SPELLED = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per worker process, so what it remembers outlives a task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def cut(n_tokens: int, max_len: int = MAX_LEN) -> list[tuple[int, int]]:
@@ -110,7 +125,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str | None = None, max_len: int =
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encode = encoder(path).encode
         for batch in batches:
             ids, start, length, crc, total, tokens = [], [], [], [], [], []
 
@@ -126,7 +141,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str | None = None, max_len: int =
                 return out
 
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = encoder.encode(text.as_py()) + end
+                raw = encode(text.as_py()) + end
                 n = len(raw) // 4
                 for s, k in cut(n, max_len):
                     part = raw[4 * s : 4 * (s + k)]
