@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.operators.dataflow import prefix_sums
+from strandlake.operators.dataflow import prefix_sums, small
 
 BIN = 5000
 KEYS = ("rname", "sample")
@@ -116,7 +116,7 @@ def mean_track(diffs: DataFrame, mapped: DataFrame, keys: Sequence[str] = ("rnam
     if not n:
         return diffs.select(*keys, "pos", F.lit(0.0).alias("mean")).where(F.lit(False))
     per_sample = diffs.groupBy(*keys, "sample", "pos").agg(F.sum("diff").alias("diff"))
-    at = per_sample.join(F.broadcast(w), "sample").groupBy(*keys, "pos").agg(F.sum(F.col("diff") * F.col("weight")).alias("wdiff"))
+    at = per_sample.join(small(w), "sample").groupBy(*keys, "pos").agg(F.sum(F.col("diff") * F.col("weight")).alias("wdiff"))
     return prefix_sums(at, keys, "pos", ["wdiff"], bin_size).select(*keys, "pos", (F.col("run_wdiff") / n).alias("mean"))
 
 
@@ -132,7 +132,7 @@ def median_track(coverage: DataFrame, mapped: DataFrame, library_size: float = 4
     known = grid.join(coverage.select("rname", "pos", "sample", "cov"), ["rname", "pos", "sample"], "left")
     on = Window.partitionBy("rname", "sample").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     filled = known.withColumn("cov", F.coalesce(F.last("cov", ignorenulls=True).over(on), F.lit(0)))
-    return filled.join(F.broadcast(w), "sample").groupBy("rname", "pos").agg(F.median(F.col("cov") * F.col("weight")).alias("median"))
+    return filled.join(small(w), "sample").groupBy("rname", "pos").agg(F.median(F.col("cov") * F.col("weight")).alias("median"))
 
 
 def expressed_regions(runs: DataFrame, cutoff: float, max_gap: int = 3000) -> DataFrame:

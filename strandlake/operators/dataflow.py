@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most_rows`` rows, which is checked; else as it is."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def md5_bucket(key: Column, n: int) -> Column:
     """The 128-bit MD5 of a key modulo ``n``, folded 32 bits at a time."""
     digest, out = F.md5(key), F.lit(0).cast("bigint")

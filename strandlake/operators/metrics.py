@@ -69,3 +69,49 @@ def threshold_curve(rows: DataFrame, most: int) -> DataFrame:
     joined = steps.join(relevant, "i", "left").join(retrieved, "i", "left").na.fill(0)
     up = Window.orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, 0)  # as many rows as thresholds
     return joined.select("i", "relevant", "found", F.sum("n").over(up).alias("retrieved"), F.sum("right").over(up).alias("right"))
+
+
+def regression_shares(values: DataFrame, covariates: DataFrame, group: Sequence[str], terms: Sequence[str]) -> DataFrame:
+    """Per group, the share of the variance of ``value`` that each covariate explains when they are fitted one after another.
+
+    ``values`` has the group's columns, ``sample`` and ``value``; ``covariates`` a numeric column per
+    term and sample. The rest is the row ``residual``. A group has a row per sample.
+    """
+    import numpy as np
+    import pandas as pd
+
+    from strandlake.session import shipped
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        y = rows["value"].to_numpy(float)
+        base = np.ones((len(y), 1))
+        left = ((y - y.mean()) ** 2).sum()
+        total, out = left, []
+        for t in terms:
+            base = np.column_stack([base, rows[t].to_numpy(float)])
+            fit = base @ np.linalg.lstsq(base, y, rcond=None)[0]
+            now = ((y - fit) ** 2).sum()
+            out.append((t, (left - now) / total if total else 0.0))
+            left = now
+        out.append(("residual", left / total if total else 0.0))
+        return pd.DataFrame([(*(rows[g].iloc[0] for g in group), t, float(s)) for t, s in out], columns=[*group, "term", "share"])
+
+    joined = shipped(values).join(covariates, "sample").select(*group, "sample", "value", *terms)
+    schema = ", ".join([*(f"{g} {dict(values.dtypes)[g]}" for g in group), "term string", "share double"])
+    return joined.groupBy(*group).applyInPandas(run, schema)
+
+
+def mate_matches(truth: DataFrame, called: DataFrame, key: str, items: str) -> DataFrame:
+    """Matches between the two mates' sets of a pair when it isn't known which is which.
+
+    Each side has one row per ``key`` with ``items``: an array of two arrays. The better of the
+    straight and the switched pairing counts; ``relevant`` and ``retrieved`` are the set sizes.
+    """
+    t, c = truth.select(key, F.col(items).alias("t")), called.select(key, F.col(items).alias("c"))
+    both = t.join(c, key, "full")
+    part = lambda col, i: F.coalesce(F.array_distinct(F.get(F.col(col), F.lit(i))), F.array())
+    shared = lambda i, j: F.size(F.array_intersect(part("t", i), part("c", j)))
+    return both.select(
+        key, F.greatest(shared(0, 0) + shared(1, 1), shared(0, 1) + shared(1, 0)).alias("matched"),
+        (F.size(part("t", 0)) + F.size(part("t", 1))).alias("relevant"), (F.size(part("c", 0)) + F.size(part("c", 1))).alias("retrieved"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +38,23 @@ class Cohort:
     contigs: DataFrame
     samples: DataFrame
     parameters: Parameters = field(default_factory=Parameters)
+    _primary: DataFrame | None = None
+
+    def keep(self) -> Cohort:
+        """Keep the chosen alignments in executors' memory and disk, where several deliverables are wanted."""
+        if self._primary is None:
+            self._primary = self.primary().persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def release(self) -> None:
+        if self._primary is not None:
+            self._primary.unpersist()
+            self._primary = None
 
     def primary(self) -> DataFrame:
         """One alignment per read and sample: the best by score, ties broken by junction coverage."""
+        if self._primary is not None:
+            return self._primary
         flagged = self.alignments.where(~align.has_flag(F.col("flag"), align.UNMAPPED))
         scored = flagged.withColumn("n_junctions", align.n_junctions(F.col("cigar"))).withColumn("read_length", F.length("seq"))
         scored = scored.withColumn("read", F.concat_ws("\u001f", F.col("sample").cast("string"), "qname")).withColumn("alt", F.xxhash64("rname", "pos", "cigar"))

@@ -98,14 +98,14 @@ def counters_by_group(spark, sf):
 @query("broadcast_dim", "SELECT r_name, n_name, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
 def broadcast_dim(spark, sf):
     s, n, r = (table(spark, sf, t) for t in ("supplier", "nation", "region"))
-    joined = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)  # 25 and 5 rows
+    joined = s.join(dfl.small(n), s.s_nationkey == n.n_nationkey).join(dfl.small(r), F.col("n_regionkey") == r.r_regionkey)
     return joined.groupBy("r_name", "n_name").agg(F.count("*").alias("suppliers"))
 
 
 @query("dim_chain_join", "SELECT o_orderpriority, n_name, r_name, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
 def dim_chain_join(spark, sf):
     o, c, n, r = (table(spark, sf, t) for t in ("orders", "customer", "nation", "region"))
-    joined = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+    joined = o.join(c, o.o_custkey == c.c_custkey).join(dfl.small(n), F.col("c_nationkey") == n.n_nationkey).join(dfl.small(r), F.col("n_regionkey") == r.r_regionkey)
     return joined.groupBy("o_orderpriority", "n_name", "r_name").agg(F.count("*").alias("orders"))
 
 
