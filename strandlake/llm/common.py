@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import unicodedata
 import uuid
 from collections.abc import Sequence
 
@@ -11,6 +13,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words kept by a worker's hash cache before it starts over; bounds its memory to about 50 MB.
 CACHE_WORDS = 300_000
@@ -33,7 +36,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = "file://" + os.path.join(tempfile.gettempdir(), "strandlake-scratch")
         spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -61,6 +65,10 @@ def drop_scratch(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Signs of Latin-1, general punctuation, and that of East Asian scripts.
+_MARKS = re.compile("[\u00a0-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u2000-\u206f\u3000-\u303f]+")
+
+
 class WordHash(dict):
     """64-bit hashes of words (bytes), remembered for the words seen last."""
 
@@ -84,16 +92,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: One odd multiplier for each place in an n-gram, made by mixing its number.
+_ODD = mix(np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash for each run of ``n`` word hashes; fewer words give one hash of them all, none gives none."""
     if len(words) == 0:
         return words
     n_here = min(n, len(words))
     count = len(words) - n_here + 1
-    total = np.zeros(count, np.uint64)
+    total = np.full(count, n_here, np.uint64)
     for j in range(n_here):
-        total = mix(total + words[j : j + count] * np.uint64(2 * j + 3))
-    return mix(total + np.uint64(n_here))
+        total += words[j : j + count] * _ODD[j % len(_ODD)]
+    return mix(total)
 
 
 def white_words(text: str | None) -> list[bytes]:
@@ -102,18 +114,32 @@ def white_words(text: str | None) -> list[bytes]:
 
 
 def fold_words(text: str | None) -> list[bytes]:
-    """Words of ASCII letters, digits and everything beyond ASCII, A-Z lower-cased."""
-    return text.encode("utf-8", "replace").translate(FOLD_ALNUM).split() if text else []
+    """Words of letters and digits, lower-cased and in one Unicode form, without the usual punctuation beyond ASCII."""
+    if not text:
+        return []
+    if not text.isascii():
+        text = _MARKS.sub(" ", unicodedata.normalize("NFKC", text).lower())
+    return text.encode("utf-8", "replace").translate(FOLD_ALNUM).split()
 
 
 def crc_of_id(col):
     return F.crc32(col.cast("string").cast("binary"))
 
 
-def bounded_ids(labelled: DataFrame, id_col: str, label_col: str, per_label: int) -> DataFrame:
-    """At most ``per_label`` ids of each label, chosen by a hash of the id; all columns are kept.
+def bounded_ids(labelled: DataFrame, id_col: str, label_col: str, per_label: int, most_labels: int = 1_000) -> DataFrame:
+    """At most ``per_label`` ids of each label, those with the lowest hash of the id; all columns are kept.
 
-    The rank is limited within each task before any row is shuffled.
+    The labels are counted first, more than ``most_labels`` are an error, and only ids with a
+    hash low enough for a little more than ``per_label`` of their label are ranked.
     """
-    w = Window.partitionBy(label_col).orderBy(F.xxhash64(F.col(id_col), F.lit(17)), id_col)
-    return labelled.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= per_label).drop("_rank")
+    spark = labelled.sparkSession
+    place = F.xxhash64(F.col(id_col), F.lit(17))
+    counts = labelled.groupBy(label_col).agg(F.count("*").alias("n")).limit(most_labels + 1).collect()
+    if len(counts) > most_labels:
+        raise ValueError(f"more than {most_labels} labels")
+    wanted = per_label + 6 * per_label**0.5 + 50
+    shares = spark.createDataFrame([(r[0], min(1.0, wanted / r["n"])) for r in counts], T.StructType([labelled.schema[label_col], T.StructField("_share", T.DoubleType())]))
+    near = labelled.join(F.broadcast(shares), label_col)  # a row per label
+    near = near.where(place.cast("double") <= F.lit(-(2.0**63)) + F.col("_share") * F.lit(2.0**64)).drop("_share")
+    w = Window.partitionBy(label_col).orderBy(place, id_col)
+    return near.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= per_label).select(*labelled.columns)

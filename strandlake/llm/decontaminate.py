@@ -2,7 +2,8 @@
 
 1. The word 3-grams of all test items are put into a bitmap of fixed size. A pass over the
    corpus counts those of its 3-grams that are in it, added up in each task first.
-2. Of each item the rarest half of its 3-grams by that count are its seeds.
+2. An item's seeds are its 3-grams but for the most common quarter by that count, so a copy
+   that keeps more than a quarter of the item's 3-grams has a seed.
 3. A second pass cuts windows around seeds out of the training texts; windows and items are
    joined on the seeds. How rare is relative to the item, so an item that stands in very many
    documents keeps its seeds too.
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import WordHash, fold_words, materialize, ngram_hashes, read_table
+from strandlake.session import shipped
 
 GRAM = 3
 BITS = 24
@@ -56,7 +58,7 @@ def _item_grams(items: DataFrame) -> DataFrame:
                     grams.append(np.unique(ngram_hashes(w, GRAM)).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.list_(pa.int64())), pa.array(grams, pa.list_(pa.int64()))], names=["item_id", "words", "grams"])
 
-    return items.mapInArrow(run, "item_id long, words array<long>, grams array<long>")
+    return shipped(items).mapInArrow(run, "item_id long, words array<long>, grams array<long>")
 
 
 def _bitmap(grams: DataFrame) -> np.ndarray:
@@ -93,12 +95,12 @@ def _counts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
                 h = ngram_hashes(known.of(fold_words(text.as_py())), GRAM)
                 for x in set(h[_marked(bitmap, h)].tolist()):
                     counts[x] = counts.get(x, 0) + 1
-            if len(counts) > 500_000:
+            if len(counts) > 200_000:
                 yield flush()
         if counts:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return shipped(docs).select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 def _windows(docs: DataFrame, bitmap: np.ndarray, reach: int) -> DataFrame:
@@ -107,6 +109,7 @@ def _windows(docs: DataFrame, bitmap: np.ndarray, reach: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bitmap = WordHash(), shared.value
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -118,10 +121,13 @@ def _windows(docs: DataFrame, bitmap: np.ndarray, reach: int) -> DataFrame:
                 for group in np.split(at, np.flatnonzero(np.diff(at) > reach) + 1):
                     start, end = max(0, int(group[0]) - reach), int(group[-1]) + reach + GRAM
                     rows.append({"doc_id": doc_id, "start": start, "words": w[start:end].view(np.int64), "grams": np.unique(h[group]).view(np.int64)})
+                if len(rows) >= 500:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows = []
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))]))
+                yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return docs.mapInArrow(run, "doc_id long, start long, words array<long>, grams array<long>")
+    return shipped(docs).mapInArrow(run, "doc_id long, start long, words array<long>, grams array<long>")
 
 
 def _align(pairs: DataFrame) -> DataFrame:
@@ -136,7 +142,7 @@ def _align(pairs: DataFrame) -> DataFrame:
             best, score, n, end = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([doc, item, pa.array(best, pa.int64()), pa.array(score, pa.float64()), pa.array(n, pa.int64()), pa.array(end, pa.int64())], names=["doc_id", "item_id", "matched", "score", "item_words", "end_word"])
 
-    return pairs.select("doc_id", "item_id", "start", "item", "words").mapInArrow(run, "doc_id long, item_id long, matched long, score double, item_words long, end_word long")
+    return shipped(pairs).select("doc_id", "item_id", "start", "item", "words").mapInArrow(run, "doc_id long, item_id long, matched long, score double, item_words long, end_word long")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
@@ -153,7 +159,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least_score: float = LEAST_S
     counts = _counts(docs, _bitmap(grams))
     ranked = grams.join(counts, "h", "left").select("item_id", "n_grams", "h", F.coalesce("n", F.lit(0)).alias("n"))
     by_item = ranked.groupBy("item_id").agg(F.max("n_grams").alias("n_grams"), F.array_sort(F.collect_set(F.struct("n", "h"))).alias("order"))  # an item's own 3-grams
-    most = F.greatest(F.lit(LEAST_SEEDS), F.ceil(F.col("n_grams") / 2)).cast("int")
+    most = F.greatest(F.lit(LEAST_SEEDS), F.col("n_grams") - F.floor(F.col("n_grams") / 4)).cast("int")
     seeds = materialize(by_item.select("item_id", F.explode(F.slice("order", F.lit(1), most)).alias("s")).select("item_id", F.col("s.h").alias("h")), "seeds")
     windows = materialize(_windows(docs, _bitmap(seeds), reach), "windows")
     met = (

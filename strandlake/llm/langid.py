@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import bounded_ids, crc_of_id, mix, read_table
+from strandlake.session import shipped
 
 UNKNOWN = "und"
 FEATURES = 4096
@@ -158,7 +159,7 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageMode
                     raw.append(counts.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(raw, pa.binary())], names=["lang", "counts"])
 
-    table = chosen.select("lang", "text").mapInArrow(run, "lang string, counts binary").toArrow()
+    table = shipped(chosen).select("lang", "text").mapInArrow(run, "lang string, counts binary").toArrow()
     names = table.column("lang").to_pylist()
     raw = [np.frombuffer(c, np.float32) for c in table.column("counts").to_pylist()]
     order = sorted(range(len(names)), key=lambda i: (names[i], raw[i].tobytes()))  # whatever order the tasks end in
@@ -191,7 +192,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     names=[*kept, "lang_pred", "score", "ambiguous"],
                 )
 
-    return docs.select(*kept, "text").mapInArrow(run, schema)
+    return shipped(docs).select(*kept, "text").mapInArrow(run, schema)
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import FOLD_ALNUM, read_table
+from strandlake.session import shipped
 
 # The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -175,7 +176,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                 rows.append(found | {"doc_id": doc_id, "base_labels": sorted(found["base_labels"]), "labels": sorted(found["labels"])})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCAN)
+    return shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCAN)
 
 
 def report(docs: DataFrame) -> DataFrame:

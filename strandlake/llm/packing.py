@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import materialize, read_table
+from strandlake.session import shipped
 
 MAX_LEN = 4096
 END_ID = 2
@@ -157,7 +158,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str | None = None, max_len: int =
             if ids:
                 yield flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES_IDS if with_ids else PIECES)
+    return shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES_IDS if with_ids else PIECES)
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:

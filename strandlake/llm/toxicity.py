@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandlake.llm.common import WordHash, bounded_ids, crc_of_id, fold_words, read_table
+from strandlake.session import shipped
 
 BUCKETS = 1 << 16
 DIM = 4  # of each table
@@ -207,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, max_wo
                 raw.append(rows.tobytes() if len(rows) <= max_words else None)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(toxic, pa.int32()), pa.array(lang, pa.string()), pa.array(raw, pa.binary())], names=["doc_id", "toxic", "lang", "rows"])
 
-    table = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic", "lang", "text").mapInArrow(run, "doc_id long, toxic int, lang string, rows binary").where("rows is not null").toArrow()
+    table = shipped(chosen).select(F.col("doc_id").cast("long").alias("doc_id"), "toxic", "lang", "text").mapInArrow(run, "doc_id long, toxic int, lang string, rows binary").where("rows is not null").toArrow()
     found = sorted(zip(*(table.column(c).to_pylist() for c in ("doc_id", "toxic", "lang", "rows"))), key=lambda r: (r[0], r[3]))
     rows = [np.frombuffer(r[3], np.int32).reshape(-1, 2) for r in found]
     y = np.array([r[1] for r in found], np.int64)
@@ -233,7 +234,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             scores = [model.score(word_rows(t.as_py(), known)) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*kept, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return shipped(docs).mapInArrow(run, schema)
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:

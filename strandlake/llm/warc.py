@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import materialize, read_table, scratch_path
+from strandlake.session import shipped
 
 MAGIC = b"\x1f\x8b\x08"
 LEAST_REVISIT_BYTES = 100
@@ -106,7 +107,7 @@ def write_warc(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
         yield pa.RecordBatch.from_pylist([{"file": f"{folder}/{name}", "file_bytes": size, "records": records}], pa.schema([("file", pa.string()), ("file_bytes", pa.int64()), ("records", pa.int64())]))
 
     columns = pages.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).otherwise("").alias("html"), "n_bytes", "digest", "refers_to")
-    return materialize(columns.mapInArrow(run, FILES), "warc-files")
+    return materialize(shipped(columns).mapInArrow(run, FILES), "warc-files")
 
 
 class _Window:
@@ -260,7 +261,7 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bo
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return splits.mapInArrow(run, RECORDS)
+    return shipped(splits).mapInArrow(run, RECORDS)
 
 
 def archive_and_read(pages: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
