@@ -72,4 +72,4 @@ def test_core_imports_nothing_optional():
     root = Path(__file__).resolve().parent.parent / "strandlake"
     for path in root.rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
-            assert "llm" not in path.read_text(), path
+            assert "strandlake.llm" not in path.read_text(), path
