@@ -135,14 +135,12 @@ def median_track(coverage: DataFrame, mapped: DataFrame, library_size: float = 4
     return filled.join(small(w), "sample").groupBy("rname", "pos").agg(F.median(F.col("cov") * F.col("weight")).alias("median"))
 
 
-def expressed_regions(runs: DataFrame, cutoff: float, max_gap: int = 3000) -> DataFrame:
+def expressed_regions(runs: DataFrame, cutoff: float, max_gap: int = 3000, keys: Sequence[str] = ("rname",)) -> DataFrame:
     """Touching runs at ``cutoff`` or above as regions, and regions no more than ``max_gap`` apart as clusters."""
-    w = Window.partitionBy("rname").orderBy("start")
+    w = Window.partitionBy(*keys).orderBy("start")
     high = runs.where(F.col("value") >= cutoff)
     marked = high.withColumn("_new", (F.col("start") != F.coalesce(F.lag("end_pos").over(w), F.lit(-1))).cast("int")).withColumn("_region", F.sum("_new").over(w))
-    regions = marked.groupBy("rname", "_region").agg(
-        F.min("start").alias("start"), F.max("end_pos").alias("end_pos"),
-        (F.sum(F.col("value") * (F.col("end_pos") - F.col("start"))) / F.sum(F.col("end_pos") - F.col("start"))).alias("mean"),
-    )
+    bases = F.col("end_pos") - F.col("start")
+    regions = marked.groupBy(*keys, "_region").agg(F.min("start").alias("start"), F.max("end_pos").alias("end_pos"), (F.sum(F.col("value") * bases) / F.sum(bases)).alias("mean"))
     far = (F.col("start") - F.coalesce(F.lag("end_pos").over(w), F.lit(-(1 << 40))) > max_gap).cast("int")
-    return regions.withColumn("_far", far).withColumn("cluster", F.sum("_far").over(w)).select("rname", "start", "end_pos", "mean", "cluster")
+    return regions.withColumn("_far", far).withColumn("cluster", F.sum("_far").over(w)).select(*keys, "start", "end_pos", "mean", "cluster")

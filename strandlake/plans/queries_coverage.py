@@ -153,11 +153,10 @@ def interval_bins(spark, sf):
 
 @query("expressed_regions", sql(f"""
 WITH {COVERAGE}, {runs_sql('cov', 'runs')},
-h AS (SELECT *, CASE WHEN start = coalesce(lag(end_pos) OVER w, -1) THEN 0 ELSE 1 END AS fresh FROM runs WHERE sample = 0 AND value >= 3 WINDOW w AS (PARTITION BY rname ORDER BY start)),
-r AS (SELECT *, sum(fresh) OVER (PARTITION BY rname ORDER BY start) AS region FROM h),
-g AS (SELECT rname, min(start) AS start, max(end_pos) AS end_pos, sum(value * (end_pos - start)) * 1.0 / sum(end_pos - start) AS mean FROM r GROUP BY rname, region),
-f AS (SELECT *, CASE WHEN start - coalesce(lag(end_pos) OVER (PARTITION BY rname ORDER BY start), -1099511627776) > 30 THEN 1 ELSE 0 END AS far FROM g)
-SELECT rname, start, end_pos, round(mean, 8) AS mean, CAST(sum(far) OVER (PARTITION BY rname ORDER BY start) AS BIGINT) AS cluster FROM f""", "v_intervals", "v_contigs"))
+h AS (SELECT *, CASE WHEN start = coalesce(lag(end_pos) OVER w, -1) THEN 0 ELSE 1 END AS fresh FROM runs WHERE value >= 3 WINDOW w AS (PARTITION BY rname, sample ORDER BY start)),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY rname, sample ORDER BY start) AS region FROM h),
+g AS (SELECT rname, sample, min(start) AS start, max(end_pos) AS end_pos, sum(value * (end_pos - start)) * 1.0 / sum(end_pos - start) AS mean FROM r GROUP BY rname, sample, region),
+f AS (SELECT *, CASE WHEN start - coalesce(lag(end_pos) OVER (PARTITION BY rname, sample ORDER BY start), -1099511627776) > 30 THEN 1 ELSE 0 END AS far FROM g)
+SELECT rname, sample, start, end_pos, round(mean, 8) AS mean, CAST(sum(far) OVER (PARTITION BY rname, sample ORDER BY start) AS BIGINT) AS cluster FROM f""", "v_intervals", "v_contigs"))
 def expressed_regions(spark, sf):
-    runs = _runs(spark, sf).where("sample = 0")
-    return cv.expressed_regions(runs, 3, 30).withColumn("mean", F.round("mean", 8))
+    return cv.expressed_regions(_runs(spark, sf), 3, 30, cv.KEYS).withColumn("mean", F.round("mean", 8))

@@ -77,11 +77,11 @@ def bed_format(spark, sf):
 
 @query("tie_junction_coverage", sql("""
 SELECT a.rname_strand, a.start, a.end_pos, a.sample, a."count" AS own, coalesce(c.total, 0) AS coverage FROM v_junction_obs a
-LEFT JOIN (SELECT rname_strand, start, end_pos, sample, CAST(sum("count") AS BIGINT) AS total FROM v_junction_obs WHERE start % 30 = 0 GROUP BY ALL) c USING (rname_strand, start, end_pos, sample)""", "v_junction_obs"))
+LEFT JOIN (SELECT rname_strand, start, end_pos, sample, CAST(sum("count") AS BIGINT) AS total FROM v_junction_obs WHERE "count" >= 3 GROUP BY ALL) c USING (rname_strand, start, end_pos, sample)""", "v_junction_obs"))
 def tie_junction_coverage(spark, sf):
     obs = view(spark, sf, "v_junction_obs")
     keys = ["rname_strand", "start", "end_pos", "sample"]
-    return al.tie_coverage(obs.withColumnRenamed("count", "own"), obs.where("start % 30 = 0"), keys).select(*keys, "own", "coverage")
+    return al.tie_coverage(obs.withColumnRenamed("count", "own"), obs.where("count >= 3"), keys).select(*keys, "own", "coverage")
 
 
 @query("min_junction_cov", sql('SELECT rname_strand, sample, min("count") AS least FROM v_junction_obs GROUP BY ALL', "v_junction_obs"))
@@ -103,17 +103,17 @@ def max_extension(spark, sf):
 
 @query("overlap_join", sql("""
 SELECT a.rname, a.start, a.end_pos, a.sample, b.start AS start_b, b.end_pos AS end_pos_b, b.sample AS sample_b FROM v_truth a JOIN v_introns b
-ON a.rname = b.rname AND a.start < b.end_pos AND b.start < a.end_pos WHERE b.sample = 1""", "v_truth", "v_introns"))
+ON a.rname = b.rname AND a.start < b.end_pos AND b.start < a.end_pos""", "v_truth", "v_introns"))
 def overlap_join(spark, sf):
-    return iv.overlap_join(view(spark, sf, "v_truth"), view(spark, sf, "v_introns").where("sample = 1").select("rname", "start", "end_pos", "sample"), ["rname"])
+    return iv.overlap_join(view(spark, sf, "v_truth"), view(spark, sf, "v_introns").select("rname", "start", "end_pos", "sample"), ["rname"])
 
 
 @query("overlap_equal_start_end", sql("""
-WITH a AS (SELECT DISTINCT rname, start, end_pos FROM v_truth WHERE sample < 4), b AS (SELECT DISTINCT rname, start, start + 60 - (start // 10) % 3 AS end_pos FROM v_called WHERE sample < 4)
+WITH a AS (SELECT DISTINCT rname, start, end_pos FROM v_truth), b AS (SELECT DISTINCT rname, start, start + 60 - (start // 10) % 3 AS end_pos FROM v_called)
 SELECT 'equal' AS kind, count(*) AS n FROM a JOIN b USING (rname, start, end_pos) UNION ALL SELECT 'start', count(*) FROM a JOIN b USING (rname, start) UNION ALL SELECT 'end', count(*) FROM a JOIN b USING (rname, end_pos)""", "v_truth", "v_called"))
 def overlap_equal_start_end(spark, sf):
-    a = view(spark, sf, "v_truth").where("sample < 4").select("rname", "start", "end_pos").distinct()
-    b = view(spark, sf, "v_called").where("sample < 4").selectExpr("rname", "start", "start + 60 - (start div 10) % 3 as end_pos").distinct()
+    a = view(spark, sf, "v_truth").select("rname", "start", "end_pos").distinct()
+    b = view(spark, sf, "v_called").selectExpr("rname", "start", "start + 60 - (start div 10) % 3 as end_pos").distinct()
     kinds = [iv.overlap_join(a, b, ["rname"], kind=k).groupBy(F.lit(k).alias("kind")).agg(F.count("*").alias("n")) for k in ("equal", "start", "end")]
     return kinds[0].union(kinds[1]).union(kinds[2])
 
@@ -216,10 +216,8 @@ def junction_search(spark, sf):
 
     ref = {r["rname"]: r["g"] for r in view(spark, sf, "v_reference").groupBy("rname").agg(F.array_join(F.expr("transform(array_sort(collect_list(struct(chunk, bases))), x -> x.bases)"), "").alias("g")).collect()}  # one small test contig
     n = min(len(g) for g in ref.values())
-    starts = spark.range(1, max(2, min(2000, (n - 400) // 30))).select((F.col("id") * 30 + 1).alias("p"))
+    starts = spark.range(1, max(2, (n - 400) // 30)).select((F.col("id") * 30 + 1).alias("p"))
     reads = starts.select("p", F.lit(0).alias("piece"), F.lit(0).alias("disp"), F.col("p").alias("pos")).union(starts.select("p", F.lit(1), F.lit(25), F.col("p") + 25 + 100))
-    from pyspark.sql import Column  # noqa: F401
-
     chunks = view(spark, sf, "v_reference")
     asked = starts.select(F.lit("A").alias("rname"), (F.col("p") - 1).alias("offset"), F.lit(25).cast("bigint").alias("size"), F.col("p").alias("p"), F.lit(0).alias("half")).union(
         starts.select(F.lit("A"), F.col("p") - 1 + 125, F.lit(25).cast("bigint"), F.col("p"), F.lit(1))

@@ -84,7 +84,7 @@ def seq_multiplicity(spark, sf):
 
 
 def _readlets(spark, sf):
-    pieces = view(spark, sf, "v_reads").where("sample = 0").select("qname", "seq", F.explode(sq.readlets(F.col("seq"))).alias("p"))
+    pieces = view(spark, sf, "v_reads").select("qname", "seq", F.explode(sq.readlets(F.col("seq"))).alias("p"))
     piece = F.substring(F.col("seq"), F.col("p.start") + 1, F.col("p.size"))
     canon, flipped = sq.canonical(piece)
     return pieces.select("qname", F.col("p.start").alias("disp5"), (F.length("seq") - F.col("p.start") - F.col("p.size")).alias("disp3"), canon.alias("readlet_seq"), flipped.alias("is_reversed"))
@@ -92,9 +92,9 @@ def _readlets(spark, sf):
 
 PIECES = """
 pieces AS (
-  SELECT qname, seq, 0 AS start, s AS size FROM v_reads, (SELECT unnest([15,16,17,18,19,20,22,24,25]) AS s) WHERE sample = 0 UNION ALL
-  SELECT qname, seq, length(seq) - s, s FROM v_reads, (SELECT unnest([15,16,17,18,19,20,22,24,25]) AS s) WHERE sample = 0 UNION ALL
-  SELECT qname, seq, j, 25 FROM v_reads, (SELECT unnest(generate_series(4, 400, 4)) AS j) WHERE sample = 0 AND j < length(seq) - 25),
+  SELECT qname, seq, 0 AS start, s AS size FROM v_reads, (SELECT unnest([15,16,17,18,19,20,22,24,25]) AS s) UNION ALL
+  SELECT qname, seq, length(seq) - s, s FROM v_reads, (SELECT unnest([15,16,17,18,19,20,22,24,25]) AS s) UNION ALL
+  SELECT qname, seq, j, 25 FROM v_reads, (SELECT unnest(generate_series(4, 400, 4)) AS j) WHERE j < length(seq) - 25),
 cut AS (SELECT qname, CAST(start AS INT) AS disp5, CAST(length(seq) - start - size AS INT) AS disp3, substr(seq, CAST(start + 1 AS INT), size) AS r FROM pieces)"""
 
 
