@@ -211,19 +211,17 @@ def fragment_sequences(spark, sf):
 
 @query("junction_search")
 def junction_search(spark, sf):
-    """Junctions inferred from pieces of reads cut out of the reference with a gap; tested against planted introns."""
+    """Junctions inferred from reads cut out of the reference with a gap of 100 bases in their middle; tested against planted introns."""
     from strandlake.operators.graph import search_junctions
 
-    ref = {r["rname"]: r["g"] for r in view(spark, sf, "v_reference").groupBy("rname").agg(F.array_join(F.expr("transform(array_sort(collect_list(struct(chunk, bases))), x -> x.bases)"), "").alias("g")).collect()}  # one small test contig
-    n = min(len(g) for g in ref.values())
-    starts = spark.range(1, max(2, (n - 400) // 30)).select((F.col("id") * 30 + 1).alias("p"))
-    reads = starts.select("p", F.lit(0).alias("piece"), F.lit(0).alias("disp"), F.col("p").alias("pos")).union(starts.select("p", F.lit(1), F.lit(25), F.col("p") + 25 + 100))
     chunks = view(spark, sf, "v_reference")
-    asked = starts.select(F.lit("A").alias("rname"), (F.col("p") - 1).alias("offset"), F.lit(25).cast("bigint").alias("size"), F.col("p").alias("p"), F.lit(0).alias("half")).union(
-        starts.select(F.lit("A"), F.col("p") - 1 + 125, F.lit(25).cast("bigint"), F.col("p"), F.lit(1))
+    contigs = chunks.groupBy("rname").agg(F.sum(F.length("bases")).alias("length"))
+    starts = contigs.select("rname", F.explode(F.sequence(F.lit(31).cast("bigint"), F.col("length") - 200, F.lit(30).cast("bigint"))).alias("p"))
+    halves = starts.select("rname", "p", F.explode(F.array(F.lit(0), F.lit(1))).alias("piece")).withColumn("pos", F.col("p") + 125 * F.col("piece"))
+    cut = iv.stretches(halves.withColumn("offset", F.col("pos") - 1).withColumn("size", F.lit(25).cast("bigint")), chunks, 32)
+    reads = cut.groupBy("rname", "p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "seq"))), lambda x: x["seq"]), "").alias("read_seq"))
+    hits = halves.join(reads, ["rname", "p"]).select(
+        F.col("p").alias("read_id"), F.lit(0).alias("sample"), "read_seq", "piece", "rname", F.lit(False).alias("reverse"),
+        "pos", (F.col("pos") + 25).alias("end_pos"), (25 * F.col("piece")).alias("disp"),
     )
-    seqs = iv.stretches(asked, chunks, 32).groupBy("p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("half", "seq"))), lambda x: x["seq"]), "").alias("read_seq"))
-    hits = reads.join(seqs, "p").select(
-        F.col("p").alias("read_id"), F.lit(0).alias("sample"), "read_seq", "piece", F.lit("A").alias("rname"), F.lit(False).alias("reverse"), "pos", (F.col("pos") + 25).alias("end_pos"), "disp"
-    )
-    return search_junctions(hits, ref, max_edits=10)
+    return search_junctions(hits, chunks, 32, contigs, max_edits=10)

@@ -23,8 +23,20 @@ def session(app: str = "strandlake", master: str | None = None, **extra: str) ->
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+#: Bytes that go to a Python worker at once, unless the session says otherwise.
+BATCH_BYTES = 16 << 20
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864", "67108864b")
+
+
 def shipped(df: DataFrame) -> DataFrame:
-    """``df`` again, with this package sent to the executors once, for functions that run in Python workers there."""
+    """``df`` again, with this package sent to the executors once, for functions that run in Python workers there.
+
+    Long texts make large batches, so the session's bound on their bytes is lowered if it is
+    the default.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, "") in _BATCH_DEFAULT:
+        conf.set(_BATCH, str(BATCH_BYTES))
     context = df.sparkSession.sparkContext
     root = Path(__file__).resolve().parent
     if root.is_dir() and not getattr(context, "_strandlake_shipped", False):

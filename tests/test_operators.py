@@ -232,3 +232,14 @@ def test_precision_recall(spark):
     t, c = spark.createDataFrame([(1, 0), (2, 0), (2, 0)], s), spark.createDataFrame([(2, 0), (3, 0), (9, 1)], s)
     got = {r["sample"]: (r["tp"], r["precision"], r["recall"]) for r in mt.precision_recall(t, c, ["k", "sample"], ["sample"]).collect()}
     assert got == {0: (1, 0.5, 0.5), 1: (0, 0.0, 1.0)}
+
+
+def test_junction_search(spark):
+    """The split intron again, through stretches of the reference and with a hit elsewhere that doesn't fit."""
+    read = "AGGACCTTTACCTACATACTGGCATACTAGATCCAGATTACGATAC"
+    chunks = spark.createDataFrame([("chr1", i, REFERENCE[i * 20 : i * 20 + 20]) for i in range(15)], "rname string, chunk long, bases string")
+    contigs = spark.createDataFrame([("chr1", 282)], "rname string, length long")
+    rows = [(7, 2, read, 0, "chr1", False, 27, 48, 0), (7, 2, read, 1, "chr1", False, 95, 111, 30), (7, 2, read, 1, "chr1", True, 200, 216, 30)]
+    hits = spark.createDataFrame(rows, "read_id long, sample int, read_seq string, piece int, rname string, reverse boolean, pos long, end_pos long, disp int")
+    found = gr.search_junctions(hits, chunks, 20, contigs, min_exon=8, min_intron=5, radius=0, max_edits=5).collect()
+    assert sorted(map(tuple, found)) == [("chr1+", 48, 66, 2, 1), ("chr1+", 75, 95, 2, 1)]
