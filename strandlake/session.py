@@ -35,7 +35,7 @@ def shipped(df: DataFrame) -> DataFrame:
     the default.
     """
     conf = df.sparkSession.conf
-    if conf.get(_BATCH, "") in _BATCH_DEFAULT:
+    if conf.get(_BATCH, "67108864b") in _BATCH_DEFAULT:
         conf.set(_BATCH, str(BATCH_BYTES))
     context = df.sparkSession.sparkContext
     root = Path(__file__).resolve().parent
