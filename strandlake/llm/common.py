@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words kept by a worker's hash cache before it starts over; bounds its memory to about 50 MB.
-CACHE_WORDS = 300_000
+#: Words kept by a worker's hash cache before it starts over; bounds its memory to about 35 MB.
+CACHE_WORDS = 200_000
 
 _WHITE = bytes(range(9, 14)) + b" "
 _ALNUM = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
