@@ -4,15 +4,23 @@
    sets are one class. The shingles' frequencies are counted in a table of fixed size, by the
    top bits of the hash. (Hash, then: two of n classes are taken for one with a chance of
    about n*n/2^65.)
-2. Prefixes. A class's shingles are ordered rare first, by that count and the hash. Two sets
-   with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 of each, so only
-   these are shuffled, by shingle.
-3. Stars. In the rows of one shingle, sorted by size, each class is paired with the smallest
-   one only. Pairs that pass the length and positional filter are verified once, with the
-   suffix filter before the exact count; verified links give first components.
-4. The rest. Only classes of different components that share a prefix shingle can still be
-   linked; all those pairs are made, filtered, and verified if they haven't been. A group of
-   copies is one component by then and makes no pairs; no link between components is lost.
+2. First prefixes. A class's shingles are ordered by that count, in powers of two, and the
+   hash. Sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 of each,
+   and k of the first n - ceil(t n) + k; with k about n/5 these are shuffled by shingle, once
+   per class and task. There a shingle's exact frequency among the prefixes is known.
+3. Second prefixes. Within its first prefix, a class's shingles are ordered rare first by that
+   frequency. As k are shared, one of all but the last k - 1 is; those that are in no other
+   prefix can't be it. Little is left of a class without a near duplicate.
+4. Stars. Under a shingle, one class of the largest component is paired with each class of
+   other components. Pairs that pass the length and positional filter are verified once, with
+   the suffix filter before the exact count; the links found give new components. This is
+   repeated a few times with other classes in the middle.
+5. The rest. Only classes of different components that share a shingle of their second
+   prefixes can still be linked. They are dealt into blocks, by component or, if alone, by
+   their commonest shingle; blocks that meet are compared as wholes, each class of one with
+   all sets of the other at once. A group of copies is one component by then, and what is
+   near it but not linked to it is compared with it in blocks, not in pairs of rows; no link
+   between components is lost.
 
 Nothing proportional to the corpus reaches the driver: it gets the count table and a bitmap,
 both of fixed size.
@@ -25,15 +33,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import WordHash, materialize, ngram_hashes, read_table, white_words
 from strandlake.llm.components import components
+from strandlake.operators.dataflow import small
+from strandlake.session import shipped
 
 SHINGLE, PERCENT = 5, 75
 COUNT_BITS = 18
+#: What is known of a class under a shingle.
+FIELDS = ("cls", "n", "size", "u", "pos")
 BITMAP_BITS = 23
+#: Turns of star pairs at most, before all that is left is compared.
+STAR_TURNS = 2
+#: Classes of a block in the comparison of what is left.
+BLOCK = 200
 
 
 def shingle_set(text: str | None, known: WordHash, n: int = SHINGLE) -> np.ndarray:
@@ -51,8 +67,14 @@ def least_shared(na: int, nb: int, percent: int = PERCENT) -> int:
     return -(-percent * (na + nb) // (100 + percent))
 
 
+def slack(n):
+    """How many shingles more than one a prefix shares for sure: a fifth of the size. For numbers and Columns."""
+    return n // 5 + 1 if isinstance(n, int) else F.floor(n / 5) + 1
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n - -(-percent * n // 100) + 1
+    """Length of the first prefix: two linked sets share ``slack`` of the smaller of them in theirs."""
+    return n - -(-percent * n // 100) + slack(n)
 
 
 def suffix_bound(a: np.ndarray, b: np.ndarray, depth: int = 3) -> int:
@@ -77,6 +99,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return int((large[at] == small).sum()) >= need
 
 
+def _bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
+    return np.bincount((np.concatenate(sets) >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=1 << COUNT_BITS)
+
+
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     """Per document its set's size and class; and per task the counts of the shingles' buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,12 +110,18 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
         hits = np.zeros(1 << COUNT_BITS, np.int64)
         names = ["doc_id", "n_shingles", "cls", "bucket", "hits"]
         for batch in batches:
-            size, key = [], []
+            size, key, held, n_held = [], [], [], 0
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), known, n)
                 size.append(len(s))
                 key.append(class_key(s) if len(s) else None)
-                np.add.at(hits, (s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), 1)
+                held.append(s)
+                n_held += len(s)
+                if n_held > 1_000_000:
+                    hits += _bucket_counts(held)
+                    held, n_held = [], 0
+            if held:
+                hits += _bucket_counts(held)
             k = len(size)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())], names=names)
         used = np.flatnonzero(hits)
@@ -98,17 +130,27 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
             k = len(u)
             yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(u.astype(np.int32)), pa.array(hits[u])], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, cls long, bucket int, hits long")
+    return shipped(docs).mapInArrow(run, "doc_id long, n_shingles long, cls long, bucket int, hits long")
 
 
 def _prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Rare-first prefix rows, once per class and task."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # 2^18 numbers
+    """The first prefix of each class, once per task: shingles by their bucket's count in powers of two, then by hash."""
+    level = np.zeros(len(counts), np.uint8)
+    usual = counts.mean() + 6 * np.sqrt(counts.mean()) + 1
+    level[counts > usual] = np.log2(counts[counts > usual] / usual).astype(np.uint8) + 1
+    shared = docs.sparkSession.sparkContext.broadcast(level)  # 2^18 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen, counts = WordHash(), set(), shared.value
+        known, seen, level = WordHash(), set(), shared.value
         for batch in batches:
-            parts, keys, sizes, places = [], [], [], []
+            parts, keys, sizes = [], [], []
+
+            def flush():
+                key = np.repeat(np.array(keys, np.int64), [len(p) for p in parts])
+                size = np.repeat(np.array(sizes, np.int32), [len(p) for p in parts])
+                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(key), pa.array(size)], names=["h", "cls", "n"])
+
+            held = 0
             for text in batch.column(0):
                 s = shingle_set(text.as_py(), known, n)
                 if not len(s):
@@ -118,61 +160,220 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> Data
                     continue
                 seen.add(key)
                 p = prefix_length(len(s), percent)
-                order = np.argsort(counts[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)], kind="stable")[:p]
+                order = np.argsort(level[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)], kind="stable")[:p]
                 parts.append(s[order])
-                keys.append(np.full(p, key, np.int64))
-                sizes.append(np.full(p, len(s), np.int32))
-                places.append(np.arange(p, dtype=np.int32))
+                keys.append(key)
+                sizes.append(len(s))
+                held += p
+                if held > 500_000:
+                    yield flush()
+                    parts, keys, sizes, held = [], [], [], 0
             if parts:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(parts).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (keys, sizes, places))],
-                    names=["h", "cls", "n", "pos"],
-                )
+                yield flush()
 
-    return docs.select("text").mapInArrow(run, "h long, cls long, n int, pos int")
+    return shipped(docs).select("text").mapInArrow(run, "h long, cls long, n int")
 
 
-def _stars(prefixes: DataFrame) -> DataFrame:
-    """Each class under a shingle next to the first (smallest) one under it; rows of one shingle stream through."""
+def _shared(prefixes: DataFrame) -> DataFrame:
+    """Rows of shingles in the prefixes of two classes or more, with how many (beyond 2^20: 2^20).
+
+    Rows of one shingle stream through in order; up to 2^20 of them are held back until their
+    number is known.
+    """
+    most = 1 << 20
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead_h = lead = last = None
+        names = ["h", "cls", "n", "df"]
+
+        def out(h, cls, n, df):
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(cls), pa.array(n), pa.array(df)], names=names)
+
+        now, parts, held, heavy, last = None, [], 0, False, None  # ``now``: the shingle that the last batch ended with
+
+        def settle(df):
+            cls, n = (np.concatenate(x) for x in zip(*parts))
+            return out(np.full(len(cls), now, np.int64), cls, n, np.full(len(cls), df, np.int32))
+
         for batch in batches:
-            h, cls, n, pos = (batch.column(i).to_numpy() for i in range(4))
+            h, cls, n = (batch.column(i).to_numpy() for i in range(3))
+            keep = np.ones(len(h), bool)
+            keep[1:] = (h[1:] != h[:-1]) | (cls[1:] != cls[:-1])
+            if len(h):
+                keep[0] = last is None or last != (h[0], cls[0])
+                last = (h[-1], cls[-1])
+            h, cls, n = h[keep], cls[keep], n[keep]
             if not len(h):
                 continue
-            fresh = np.empty(len(h), bool)
-            fresh[1:] = h[1:] != h[:-1]
-            fresh[0] = lead_h is None or h[0] != lead_h
-            again = np.empty(len(h), bool)
-            again[1:] = cls[1:] == cls[:-1]
-            again[0] = cls[0] == last if last is not None else False
-            start = np.maximum.accumulate(np.where(fresh, np.arange(len(h)), -1))
-            keep = ~fresh & ~again
-            at = start[keep]
-            firsts = []
-            for k, own in enumerate((cls, n, pos)):
-                value = own[np.maximum(at, 0)].copy()
-                if lead is not None:
-                    value[at < 0] = lead[k]
-                firsts.append(value)
-            if keep.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (h[keep], *firsts, cls[keep], n[keep], pos[keep])],
-                    names=["h", "lead", "lead_n", "lead_pos", "cls", "n", "pos"],
-                )
-            if start[-1] >= 0:
-                lead = (cls[start[-1]], n[start[-1]], pos[start[-1]])
-            lead_h, last = h[-1], cls[-1]
+            if now is not None:
+                more = int(np.searchsorted(h, now, "right")) if h[0] == now else 0
+                if more:
+                    parts.append((cls[:more], n[:more]))
+                    held += more
+                    if heavy or held > most:
+                        yield settle(most)
+                        parts, heavy = [], True
+                h, cls, n = h[more:], cls[more:], n[more:]
+                if not len(h):
+                    continue
+                if not heavy and held > 1:
+                    yield settle(held)
+            starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            sizes = np.diff(np.append(starts, len(h)))
+            df, tail = np.repeat(sizes, sizes), starts[-1]
+            pick = np.flatnonzero(df[:tail] > 1)
+            if len(pick):
+                yield out(h[pick], cls[pick], n[pick], df[pick].astype(np.int32))
+            now, parts, held, heavy = h[-1], [(cls[tail:], n[tail:])], len(h) - tail, False
+        if now is not None and not heavy and held > 1:
+            yield settle(held)
+
+    ordered = prefixes.repartition("h").sortWithinPartitions("h", "cls")
+    return shipped(ordered).mapInArrow(run, "h long, cls long, n int, df int")
+def _least_need(a_low, b_low, a_high, b_high, percent: int):
+    """At least so many shingles of their first prefixes are shared by linked sets a and b with sizes in these ranges."""
+    up, down = percent / (100 + percent), percent / 100 - 0.2 - percent / (100 + percent)
+    return F.least(b_low * up - a_high * down, a_low * up - b_high * down) - 3
+
+
+def _second_prefixes(shared: DataFrame, percent: int) -> DataFrame:
+    """Of each class's first prefix, what is left of its second one when shingles that nothing else has come first.
+
+    ``u`` of the ``size`` shingles of the first prefix are in no other one; ``pos`` is a
+    shingle's place when they come first and the others follow, the rarest ahead. Shingles of
+    one class go, and rows whose class has too little in common with all others for any
+    class of a size found under the shingle. ``lead`` is the smallest class under it.
+    """
+    w = Window.partitionBy("cls")
+    n = F.col("n")
+    least_other = F.ceil(n * percent / 100)
+    size = n - least_other + slack(n)
+    placed = shared.select(
+        "h", "cls", "n", size.cast("int").alias("size"), (size - F.count("*").over(w)).cast("int").alias("u"),
+        F.row_number().over(w.orderBy("df", "h")).alias("_r"),
+    )
+    length = F.col("size") - slack(least_other) + 1
+    kept = placed.where(F.col("_r") <= length - F.col("u")).select("h", "cls", "n", "size", "u", (F.col("u") + F.col("_r") - 1).cast("int").alias("pos"))
+    under = Window.partitionBy("h")
+    lead = F.first(F.struct(*FIELDS)).over(under.orderBy("n", "cls"))
+    rows = kept.select("h", *FIELDS, lead.alias("lead"), F.count("*").over(under).alias("_m"), F.min("n").over(under).alias("_n0"), F.max("n").over(under).alias("_n1"))
+    low, high = F.greatest("_n0", n * percent / 100), F.least("_n1", n * 100 / percent)
+    return rows.where((F.col("_m") > 1) & (F.col("size") - F.col("u") >= _least_need(n, low, n, high, percent))).select("h", *FIELDS, "lead")
+
+
+def _may_link_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) of the structs ``a`` and ``b`` that may be linked."""
+    sides = rows.select(*(F.col(f"{x}.{f}").alias(f"{x}_{f}") for x in "ab" for f in FIELDS))
+    return sides.where(_may_link(percent)).select(F.least("a_cls", "b_cls").alias("a"), F.greatest("a_cls", "b_cls").alias("b")).distinct()
+
+
+def _star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Under each shingle, one class of the largest component with every class of other components, if they may link.
+
+    The one is chosen by a hash that is another in each turn and the same under all shingles,
+    so few classes are chosen in a group of copies.
+    """
+    w = Window.partitionBy("h").orderBy(F.col("comp_size").desc(), F.xxhash64(F.lit(turn), "cls"), F.col("cls"))
+    rows = members.select(F.first(F.struct(*FIELDS, "comp")).over(w).alias("a"), F.struct(*FIELDS, "comp").alias("b"))
+    return _may_link_pairs(rows.where("a.comp <> b.comp"), percent)
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """``cls, comp, block``: about BLOCK classes of one component in a block; those alone by their commonest shingle."""
+    counted = members.withColumn("_c", F.count("*").over(Window.partitionBy("h")))
+    each = counted.groupBy("cls").agg(F.first("comp").alias("comp"), F.first("comp_size").alias("comp_size"), F.max(F.struct("_c", "h"))["h"].alias("_h"))
+    each = each.withColumn("_alone", F.col("comp_size") == 1).withColumn("_cluster", F.when(F.col("_alone"), F.col("_h")).otherwise(F.col("comp")))
+    sizes = each.groupBy("_alone", "_cluster").agg(F.count("*").alias("_n"))
+    part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("_n") / BLOCK))
+    return each.join(sizes, ["_alone", "_cluster"]).select("cls", "comp", F.xxhash64("_alone", "_cluster", part).alias("block"))
+
+
+def _block_pairs(members: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
+    """Pairs of blocks (``a``, ``b``) that meet under a shingle with classes that may link, by the blocks' extremes there."""
+    met = members.select("h", *FIELDS).join(blocks, "cls").groupBy("h", "block").agg(
+        F.min("n").alias("n0"), F.max("n").alias("n1"), F.max(F.col("pos") - F.col("u")).alias("before"),
+        F.max(F.col("size") - F.col("pos") - 1).alias("behind"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+    )
+    names = ["block", "n0", "n1", "before", "behind", "lo", "hi"]
+    a, b = (met.select("h", *(F.col(c).alias(f"{x}_{c}") for c in names)) for x in "ab")
+    c = F.col
+    sizes_fit = (c("a_n1") * 100 >= c("b_n0") * percent) & (c("b_n1") * 100 >= c("a_n0") * percent)
+    need = _least_need(c("a_n0"), c("b_n0"), c("a_n1"), c("b_n1"), percent)
+    most = F.least("a_before", "b_before") + 1 + F.least("a_behind", "b_behind")
+    one_component = (c("a_lo") == c("a_hi")) & (c("a_lo") == c("b_lo")) & (c("b_lo") == c("b_hi"))
+    fits = (c("a_block") <= c("b_block")) & ~one_component & sizes_fit & (most >= need)
+    return a.join(b, "h").where(fits).select(c("a_block").alias("a"), c("b_block").alias("b")).distinct()
+
+
+def _block_links(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links between the classes of paired blocks, for each class of one at most one to each component in the other.
+
+    A block's sets are put into one sorted array; a class of the other block is counted
+    against all of them at once.
+    """
+    rows = small(blocks).join(texts, "cls").select("block", "cls", "comp", "text")
+    held = small(pairs.select(F.col("b").alias("block")).distinct()).join(rows, "block").withColumn("probe", F.lit(False))
+    probes = small(pairs.select(F.col("a").alias("block"), "b")).join(rows, "block").select(F.col("b").alias("block"), "cls", "comp", "text", F.lit(True).alias("probe"))
+    ordered = held.unionByName(probes).repartition("block").sortWithinPartitions("block", "probe")
 
-    ordered = prefixes.repartition("h").sortWithinPartitions("h", "n", "cls")
-    return ordered.mapInArrow(run, "h long, lead long, lead_n int, lead_pos int, cls long, n int, pos int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHash()
+        now, cls, comps, sets, index = None, [], [], [], None
+        for batch in batches:
+            out = []
+            for block, key, comp, text, probe in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2)), batch.column(3), batch.column(4).to_pylist()):
+                if block != now:
+                    now, cls, comps, sets, index = block, [], [], [], None
+                own = shingle_set(text.as_py(), known, n)
+                if not probe:
+                    cls.append(key)
+                    comps.append(comp)
+                    sets.append(own)
+                    continue
+                if index is None:
+                    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                    order = np.argsort(tokens, kind="stable")
+                    index = tokens[order], owner[order], np.array([len(x) for x in sets]), np.array(comps, np.int64), np.array(cls, np.int64)
+                tokens, owner, sizes, of, keys = index
+                lo, hi = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+                count = hi - lo
+                at = np.repeat(lo - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
+                shared = np.bincount(owner[at], minlength=len(sizes))
+                fits = (100 * shared >= percent * (len(own) + sizes - shared)) & (of != comp)
+                for one in np.unique(of[fits]):
+                    out.append((key, int(keys[fits][of[fits] == one][0])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+
+    return shipped(ordered).select("block", "cls", "comp", "text", "probe").mapInArrow(run, "a long, b long")
+
+
+def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their component and its size, under shingles of more than one component only."""
+    sizes = labels.groupBy("label").agg((F.count("*") + 1).alias("_n"))
+    sized = labels.join(sizes, "label").select(F.col("node").alias("cls"), "label", "_n").union(sizes.select(F.col("label").alias("cls"), "label", "_n"))
+    sized = small(materialize(sized, "sized"))
+    named = members.select("h", *FIELDS).join(sized, "cls", "left").select(
+        "h", *FIELDS, F.coalesce("label", "cls").alias("comp"), F.coalesce("_n", F.lit(1).cast("bigint")).alias("comp_size")
+    )
+    w = Window.partitionBy("h")
+    return named.withColumn("_lo", F.min("comp").over(w)).withColumn("_hi", F.max("comp").over(w)).where("_lo <> _hi").drop("_lo", "_hi")
 
 
-def _may_link(na: Column, ia: Column, nb: Column, ib: Column, percent: int) -> Column:
-    """Length filter, and positional filter: of what stands before a shared shingle at most the shorter part is shared, likewise behind."""
-    longest, shortest = F.greatest(na, nb), F.least(na, nb)
-    most = F.least(ia, ib) + 1 + F.least(na - ia - 1, nb - ib - 1)
-    return (shortest * 100 >= longest * percent) & (most * (100 + percent) >= (na + nb) * percent)
+def _may_link(percent: int) -> Column:
+    """Length filter, and positional filter on the first prefixes, of rows with the sides ``a`` and ``b``.
+
+    Linked sets share at least ``need`` shingles of their first prefixes. None of those that
+    come first in either and are in no other prefix is shared; of the others at most the
+    shorter part before and behind.
+    """
+    c = F.col
+    longest, shortest = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
+    overlap = F.ceil((c("a_n") + c("b_n")) * percent / (100 + percent))
+    sure = lambda n: overlap - F.ceil(n * percent / 100) + slack(n)
+    need = F.least(sure(c("a_n")), sure(c("b_n")))
+    before = F.least(c("a_pos") - c("a_u"), c("b_pos") - c("b_u"))
+    behind = F.least(c("a_size") - c("a_pos"), c("b_size") - c("b_pos")) - 1
+    return (shortest * 100 >= longest * percent) & (before + 1 + behind >= need)
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -188,37 +389,45 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _by_bitmap(docs: DataFrame, bits: np.ndarray, hit: bool) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is in a bitmap, or those whose isn't."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << BITMAP_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            bit = batch.column(batch.num_columns - 1).to_numpy()
+            keep = ((bits[bit >> 6] >> (bit & 63)) & 1 == 1) == hit
+            if keep.any():
+                yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
+
+    return shipped(docs).select("*", place.alias("_place")).mapInArrow(run, docs.schema)
+
+
 def _class_texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """``cls, text`` of the wanted classes (``cls``, ``doc_id`` of one document with it).
 
     A bitmap drops nearly all other documents before their texts are shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = WordHash(), shared.value
+        known = WordHash()
         for batch in batches:
-            bit = batch.column(2).to_numpy()
-            hit = (bits[bit >> 6] >> (bit & 63)) & 1 == 1
-            if not hit.any():
-                continue
-            part = batch.filter(pa.array(hit))
             key = []
-            for text in part.column(1):
+            for text in batch.column(1):
                 s = shingle_set(text.as_py(), known, n)
                 key.append(class_key(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(key, pa.int64()), part.column(1)], names=["doc_id", "cls", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.int64()), batch.column(1)], names=["doc_id", "cls", "text"])
 
-    found = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)).alias("bit")).mapInArrow(run, "doc_id long, cls long, text string")
-    found, wanted = found.alias("f"), wanted.alias("w")
+    near = _by_bitmap(docs.select("doc_id", "text"), _bitmap(wanted), True)
+    found = near.mapInArrow(run, "doc_id long, cls long, text string")
+    found, wanted = found.alias("f"), small(wanted).alias("w")
     same = (F.col("f.cls") == F.col("w.cls")) & F.col("f.doc_id").eqNullSafe(F.col("w.doc_id"))
     return found.join(wanted, same).select("f.cls", "f.text")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) of classes that are linked."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(classes, "cls")
-    texts = materialize(_class_texts(docs, materialize(wanted, "wanted"), n), "class-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
@@ -231,9 +440,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
                 keep.append(linked(mine, shingle_set(text_b.as_py(), known, n), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with_b = pairs.select("a", "b").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
+    with_b = small(pairs.select("a", "b")).join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return shipped(both).select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def near_duplicate_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -246,27 +455,34 @@ def near_duplicate_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PER
     counts[counted.column("bucket").to_numpy()] = counted.column("hits").to_numpy()
     classes = materialize(sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "classes")
 
-    stars = materialize(_stars(_prefixes(docs, counts, n, percent)), "stars")
-    near = _may_link(F.col("lead_n"), F.col("lead_pos"), F.col("n"), F.col("pos"), percent)
-    first = materialize(stars.where(near).select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(), "pairs")
-    links = materialize(_verify(first, docs, classes, n, percent), "links")
-    labels = components(links)
-
-    members = stars.select("h", "cls", "n", "pos").union(stars.select("h", F.col("lead").alias("cls"), F.col("lead_n").alias("n"), F.col("lead_pos").alias("pos")).distinct())
-    members = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("h", "cls", "n", "pos", F.coalesce("label", "cls").alias("comp"))
-    members = materialize(members, "members")
-    mixed = members.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
-    members = members.join(mixed, "h", "left_semi")
-    x, y = members.alias("x"), members.alias("y")
-    across = (
-        x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.comp") < F.col("y.comp"))
-               & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent))
-        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    )
-    done = first.union(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = materialize(across.join(done, ["a", "b"], "left_anti"), "pairs")
-    more = _verify(rest, docs, classes, n, percent)
-    return sets, classes, components(links.union(more))
+    shared = _shared(_prefixes(docs, counts, n, percent))
+    members = materialize(_second_prefixes(shared, percent), "members")
+    wanted = materialize(members.select("cls").distinct().join(classes, "cls"), "wanted")
+    texts = materialize(_class_texts(docs, wanted, n), "class-texts")
+    now = members
+    done = links = texts.select(F.col("cls").alias("a"), F.col("cls").alias("b")).where(F.lit(False))
+    labels = None
+    for turn in range(STAR_TURNS):
+        if turn == 0:
+            pairs = _may_link_pairs(members.where("lead.cls <> cls").select(F.col("lead").alias("a"), F.struct(*FIELDS).alias("b")), percent)
+        else:
+            pairs = _star_pairs(now, turn, percent).join(done, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        found = materialize(_verify(pairs, texts, n, percent), "links")
+        done, links = done.union(pairs), links.union(found)
+        any_found = bool(found.take(1))
+        if any_found or labels is None:
+            labels = components(links)
+        now = materialize(_with_components(now, labels), "members")
+        if not any_found or not now.take(1):
+            break
+    if now.take(1):
+        blocks = materialize(_blocks(now), "blocks")
+        pairs = materialize(_block_pairs(now, blocks, percent), "pairs")
+        found = materialize(_block_links(pairs, blocks, texts, n, percent), "links")
+        if found.take(1):
+            labels = components(links.union(found))
+    return sets, classes, labels
 
 
 def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -292,8 +508,10 @@ def drop_near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCE
     """
     found = materialize(jaccard_components(docs, n, percent), "components")
     counted = found.agg(F.count("doc_id").alias("rows"), F.count_distinct("doc_id").alias("ids"), F.count_if(F.col("doc_id").isNull() & F.col("component_id").isNotNull()).alias("lost")).first()
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    out = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    bits = _bitmap(gone)  # most texts that stay are told by it, and needn't be shuffled
+    asked, gone = _by_bitmap(docs, bits, True), gone.withColumnRenamed("doc_id", "_gone")
+    out = _by_bitmap(docs, bits, False).unionByName(asked.join(gone, asked["doc_id"] == gone["_gone"], "left_anti"))
     if counted["lost"]:  # rows without an id, told by their text
         known = docs.where("doc_id is not null").select(F.col("text").alias("_text")).distinct()
         bare = out.where("doc_id is null").join(known, F.col("text") == F.col("_text"), "left_anti")
