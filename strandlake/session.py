@@ -24,7 +24,7 @@ def session(app: str = "strandlake", master: str | None = None, **extra: str) ->
 
 
 #: Bytes that go to a Python worker at once, unless the session says otherwise.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864", "67108864b")
 
 
