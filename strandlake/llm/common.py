@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
 import tempfile
@@ -10,6 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -69,6 +73,21 @@ def drop_scratch(df: DataFrame) -> None:
 _MARKS = re.compile("[\u00a0-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u2000-\u206f\u3000-\u303f]+")
 
 
+def tidy(run):
+    """``run``, a function over record batches, giving freed memory back to the system at the end of its task.
+
+    Python workers live on after a task, next to those of other cores.
+    """
+    def inner(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return inner
+
+
 class WordHash(dict):
     """64-bit hashes of words (bytes), remembered for the words seen last."""
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import WordHash, fold_words, materialize, ngram_hashes, read_table
+from strandlake.llm.common import WordHash, fold_words, materialize, ngram_hashes, read_table, tidy
 from strandlake.session import shipped
 
 GRAM = 3
@@ -46,6 +46,7 @@ def smith_waterman(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
 
 
 def _item_grams(items: DataFrame) -> DataFrame:
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         for batch in batches:
@@ -82,6 +83,7 @@ def _counts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     """How often each marked 3-gram stands in the corpus (in how many documents)."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bitmap, counts = WordHash(), shared.value, {}
 
@@ -107,6 +109,7 @@ def _windows(docs: DataFrame, bitmap: np.ndarray, reach: int) -> DataFrame:
     """Stretches of the texts' words around marked 3-grams, with the distinct marked 3-grams in them."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bitmap = WordHash(), shared.value
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
@@ -131,6 +134,7 @@ def _windows(docs: DataFrame, bitmap: np.ndarray, reach: int) -> DataFrame:
 
 
 def _align(pairs: DataFrame) -> DataFrame:
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, item, start, a, b = (batch.column(i) for i in range(5))

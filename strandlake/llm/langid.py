@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import bounded_ids, crc_of_id, mix, read_table
+from strandlake.llm.common import bounded_ids, crc_of_id, mix, read_table, tidy
 from strandlake.session import shipped
 
 UNKNOWN = "und"
@@ -149,6 +149,7 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageMode
     ids = bounded_ids(labelled.select("doc_id", "lang"), "doc_id", "lang", per_language)
     chosen = labelled.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang, raw = [], []
@@ -180,6 +181,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     kept = [c for c in docs.columns if c != "text"]
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for whole in batches:

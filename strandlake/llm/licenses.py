@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import FOLD_ALNUM, read_table
+from strandlake.llm.common import FOLD_ALNUM, read_table, tidy
 from strandlake.session import shipped
 
 # The base phrases and their labels.
@@ -165,6 +165,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     A null text is empty: no words, no labels, score 0. A tag whose expression doesn't parse
     adds no label. Other columns are ignored, every input row gives one row.
     """
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton()
         expression = pa.struct([("expression", pa.string()), ("permissive", pa.bool_())])

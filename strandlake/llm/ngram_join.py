@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import WordHash, materialize, ngram_hashes, read_table, white_words
+from strandlake.llm.common import WordHash, materialize, ngram_hashes, read_table, tidy, white_words
 from strandlake.llm.components import components
 from strandlake.operators.dataflow import small
 from strandlake.session import shipped
@@ -105,6 +105,7 @@ def _bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     """Per document its set's size and class; and per task the counts of the shingles' buckets."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         hits = np.zeros(1 << COUNT_BITS, np.int64)
@@ -140,6 +141,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> Data
     level[counts > usual] = np.log2(counts[counts > usual] / usual).astype(np.uint8) + 1
     shared = docs.sparkSession.sparkContext.broadcast(level)  # 2^18 bytes
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, level = WordHash(), set(), shared.value
         for batch in batches:
@@ -182,6 +184,7 @@ def _shared(prefixes: DataFrame) -> DataFrame:
     """
     most = 1 << 20
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["h", "cls", "n", "df"]
 
@@ -315,6 +318,7 @@ def _block_links(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, n: int,
     probes = small(pairs.select(F.col("a").alias("block"), "b")).join(rows, "block").select(F.col("b").alias("block"), "cls", "comp", "text", F.lit(True).alias("probe"))
     ordered = held.unionByName(probes).repartition("block").sortWithinPartitions("block", "probe")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         now, cls, comps, sets, index = None, [], [], [], None
@@ -389,20 +393,27 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _hits(bits: np.ndarray, place: pa.Array) -> np.ndarray:
+    bit = place.to_numpy()
+    return (bits[bit >> 6] >> (bit & 63)) & 1 == 1
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    return shipped(docs).select("*", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << BITMAP_BITS)).alias("_place"))
+
+
 def _by_bitmap(docs: DataFrame, bits: np.ndarray, hit: bool) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` is in a bitmap, or those whose isn't."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << BITMAP_BITS))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
-            bit = batch.column(batch.num_columns - 1).to_numpy()
-            keep = ((bits[bit >> 6] >> (bit & 63)) & 1 == 1) == hit
+            keep = _hits(shared.value, batch.column(batch.num_columns - 1)) == hit
             if keep.any():
                 yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
 
-    return shipped(docs).select("*", place.alias("_place")).mapInArrow(run, docs.schema)
+    return _placed(docs).mapInArrow(run, docs.schema)
 
 
 def _class_texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -410,17 +421,23 @@ def _class_texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
     A bitmap drops nearly all other documents before their texts are shuffled.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
+
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
-        for batch in batches:
+        for whole in batches:
+            keep = _hits(shared.value, whole.column(2))
+            if not keep.any():
+                continue
+            batch = whole.filter(pa.array(keep))
             key = []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), known, n)
                 key.append(class_key(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.int64()), batch.column(1)], names=["doc_id", "cls", "text"])
 
-    near = _by_bitmap(docs.select("doc_id", "text"), _bitmap(wanted), True)
-    found = near.mapInArrow(run, "doc_id long, cls long, text string")
+    found = _placed(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, cls long, text string")
     found, wanted = found.alias("f"), small(wanted).alias("w")
     same = (F.col("f.cls") == F.col("w.cls")) & F.col("f.doc_id").eqNullSafe(F.col("w.doc_id"))
     return found.join(wanted, same).select("f.cls", "f.text")
@@ -429,6 +446,7 @@ def _class_texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) of classes that are linked."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         last, mine = None, None

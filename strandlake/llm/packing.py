@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import materialize, read_table
+from strandlake.llm.common import materialize, read_table, tidy
 from strandlake.session import shipped
 
 MAX_LEN = 4096
 END_ID = 2
-#: Chunks, and words, whose ids a worker remembers: about 200 MB.
-CACHE_CHUNKS = 500_000
+#: Chunks and words whose ids a worker remembers: about 70 MB.
+CACHE_CHUNKS, CACHE_WORDS = 100_000, 250_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PIECES_IDS = PIECES + ", ids array<int>"
@@ -80,7 +80,7 @@ class Encoder(dict):
             return b""
         if len(self) > CACHE_CHUNKS:
             self.clear()
-        if len(self.words) > CACHE_CHUNKS:
+        if len(self.words) > CACHE_WORDS:
             self.words.clear()
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.__getitem__, chunks))
@@ -125,6 +125,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str | None = None, max_len: int =
     path = tokenizer_path or vocabulary_path()
     end = int(end_id).to_bytes(4, "little")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         for batch in batches:

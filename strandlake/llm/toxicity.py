@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandlake.llm.common import WordHash, bounded_ids, crc_of_id, fold_words, read_table
+from strandlake.llm.common import WordHash, bounded_ids, crc_of_id, fold_words, read_table, tidy
 from strandlake.session import shipped
 
 BUCKETS = 1 << 16
@@ -199,6 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, max_wo
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     chosen = docs.select("doc_id", "text", lang.alias("lang")).join(F.broadcast(ids), "doc_id")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         for batch in batches:
@@ -228,6 +229,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     at = kept.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value, WordHash()
         for batch in batches:

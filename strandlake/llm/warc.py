@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import materialize, read_table, scratch_path
+from strandlake.llm.common import materialize, read_table, scratch_path, tidy
 from strandlake.session import shipped
 
 MAGIC = b"\x1f\x8b\x08"
@@ -87,6 +87,7 @@ def write_warc(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
     A file's name holds the attempt that wrote it, and only files in the table count, so
     what failed or speculative attempts leave behind is never read.
     """
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}.warc.gz"
@@ -245,6 +246,7 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bo
     n = max(1, splits.count())
     splits = splits.repartition(min(n, 100_000))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()), ("refers_to_id", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()), ("file", pa.string()), ("file_offset", pa.int64())])
         for batch in batches:
