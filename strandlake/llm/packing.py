@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -24,8 +25,8 @@ from strandlake.session import shipped
 
 MAX_LEN = 4096
 END_ID = 2
-#: Chunks and words whose ids a worker remembers: about 70 MB.
-CACHE_CHUNKS, CACHE_WORDS = 100_000, 250_000
+#: Chunks, and words, whose ids a worker remembers at most: about 200 MB.
+REMEMBERED = 500_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PIECES_IDS = PIECES + ", ids array<int>"
@@ -48,6 +49,7 @@ class Encoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.remembered = REMEMBERED
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -60,14 +62,15 @@ class Encoder(dict):
         found = self.words.get(word)
         if found is None:
             spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_SPELLED)
-            found = self.words[word] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            ids = [t.id for t in self.model.tokenize(spelled)]
+            found = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
     def __missing__(self, chunk: str) -> bytes:
         plain = _PLAIN.fullmatch(chunk)
         if plain is None:
             ids = self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0].ids
-            found = np.array(ids, "<u4").tobytes()
+            found = struct.pack(f"<{len(ids)}I", *ids)
         else:
             found = self._merged(plain[1].lower())
             if plain[2]:
@@ -78,9 +81,9 @@ class Encoder(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if len(self) > CACHE_CHUNKS:
+        if len(self) > self.remembered:
             self.clear()
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > self.remembered:
             self.words.clear()
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.__getitem__, chunks))
@@ -93,10 +96,11 @@ _SPELLED = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <=
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One per worker process, so what it remembers outlives a task."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].remembered = remembered
     return _ENCODERS[path]
 
 
@@ -113,12 +117,13 @@ def cut(n_tokens: int, max_len: int = MAX_LEN) -> list[tuple[int, int]]:
     return out
 
 
-def pieces_of(docs: DataFrame, tokenizer_path: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer_path: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece of every document (``doc_id``, ``text``; other columns are ignored).
 
     ``start`` counts the document's ids before the piece, ``doc_tokens`` all of them with the
     end id. A null or empty text is the end id alone. Rows with equal or null ids are
     documents of their own; an empty table gives no rows. ``with_ids`` adds the ids.
+    ``remembered`` bounds a worker's memory for the ids of chunks and of words.
     """
     if max_len & (max_len - 1) or max_len < 1:
         raise ValueError("max_len must be a power of two")
@@ -127,7 +132,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str | None = None, max_len: int =
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, remembered).encode
         for batch in batches:
             ids, start, length, crc, total, tokens = [], [], [], [], [], []
 
@@ -162,14 +167,14 @@ def pieces_of(docs: DataFrame, tokenizer_path: str | None = None, max_len: int =
     return shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES_IDS if with_ids else PIECES)
 
 
-def pack(docs: DataFrame, tokenizer_path: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """``pieces_of`` with ``sequence_id`` and ``offset``: each piece is a whole sequence, so its offset is 0.
 
     The pieces are written to the shared scratch folder first, so an id, made of a file split
     and a row in it, stays the same when a lost executor's work is done again. ``length`` is
     the bucket: ``write_buckets`` lays the sequences out by it.
     """
-    fixed = materialize(pieces_of(docs, tokenizer_path, max_len, end_id, with_ids), "pieces")
+    fixed = materialize(pieces_of(docs, tokenizer_path, max_len, end_id, with_ids, remembered), "pieces")
     return fixed.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 
