@@ -60,6 +60,30 @@ def test_copies_are_found_and_others_left(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_every_passing_copy_is_found(spark):
+    """Copies edited down to the score threshold, between documents that hold the items' common words, against all pairs."""
+    rng = random.Random(12)
+    items = [(i, prose(rng, rng.randint(12, 45)).lower().replace(".", "").replace(",", "").split()) for i in range(24)]
+    docs = [(d, prose(rng, 80).split()) for d in range(60)]
+    for i, words in items:
+        fourth = [w if k % 4 else "sub%d" % rng.randint(0, 10**6) for k, w in enumerate(words)]
+        between = [x for k, w in enumerate(words) for x in ([w, "ins%d" % rng.randint(0, 10**6)] if k % 2 else [w])]
+        for k, copy in enumerate((fourth, between, edited(rng, words, 0.25), edited(rng, words, 0.35), words[: len(words) // 2])):
+            docs.append((1000 + 10 * i + k, ["w%d" % k for k in range(20)] + copy + ["and", "of", "the"] * 10))
+        docs += [(5000 + 10 * i + k, words[at : at + 3] + ["x%d" % k] + words[-3:]) for k, at in enumerate(range(0, len(words) - 8, 2))]  # what little a copy keeps isn't rare
+    plain = lambda ws: [w.lower().strip(".,") for w in ws]
+    want = {}
+    for d, text in docs:
+        for i, words in items:
+            best = slow_alignment(plain(words), plain(text)) if len(set(plain(words)) & set(plain(text))) >= 5 else 0
+            if best >= max(0.4 * len(words), 8):
+                want[d, i] = best
+    assert len(want) > 90 and any(s == max(-(-2 * len(items[i][1]) // 5), 8) for (_, i), s in want.items())
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]): r["matched"] for r in dc.contaminated(frame, bench).collect()} == want
+
+
 def test_no_rows(spark, no_documents, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
