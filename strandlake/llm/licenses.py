@@ -117,8 +117,8 @@ def scan_text(text: str | None, automaton: ahocorasick.Automaton) -> dict:
     raw = (text or "").encode("utf-8", "replace").translate(FOLD_ALNUM)
     words = raw.split()
     out = {"n_words": len(words), "places": [], "base_labels": set(), "labels": set(), "expressions": [], "score": 0.0}
-    if not (b"licen" in raw or b"rights reserved" in raw or b" nc" in raw or b"creative" in raw or b"unencumbered" in raw or b"redistribution" in raw or b"granted" in raw):
-        return out  # no phrase can stand here
+    if not (b"licen" in raw or b"reserved" in raw or b" nc" in raw or b"creative" in raw or b"unencumbered" in raw or b"redistribution" in raw or b"granted" in raw):
+        return out  # no phrase can stand here; single words only, as blanks aren't collapsed yet
     joined = (b" " + b" ".join(words) + b" ").decode("utf-8", "replace")
     at = words_before = 0
     notices = tag = 0

@@ -37,6 +37,17 @@ def test_labels_and_score(spark):
     assert rows[0]["score"] == 0 and 0 < rows[13]["score"] < rows[2]["score"] < 1
 
 
+def test_phrases_over_line_ends_and_marks():
+    """Every phrase is found however its words are set apart, without other keywords in the text."""
+    automaton = li._automaton()
+    for phrase, label in (li.BASE | li.NOTICES).items():
+        for gap in (" ", "  ", "\n# ", ", ", "\t", "\r\n * "):
+            for text in (phrase, phrase.upper(), f"x {phrase} y"):
+                found = li.scan_text(text.replace(" ", gap), automaton)
+                assert label in found["labels"] and found["score"] > 0, (phrase, gap)
+    assert li.scan_text("SPDX-License-Identifier: MIT", automaton)["labels"] == {"spdx:mit"}
+
+
 def test_expressions():
     value = lambda t: li.evaluate(li.to_postfix(t))[0]
     assert value("MIT") and not value("GPL-3.0") and value("GPL-3.0 OR MIT") and not value("GPL-3.0 AND MIT")
