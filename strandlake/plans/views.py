@@ -79,9 +79,12 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_introns": (("lineitem",), """
         select distinct l_returnflag as rname, cast(l_suppkey % 5 as int) as sample, l_partkey * 40 as start,
                l_partkey * 40 + 20 + l_suppkey % 50 as end_pos
-        from lineitem where l_partkey % 3 = 0"""),
+        from lineitem"""),
     "v_reference": (("part",), f"""
         select 'A' as rname, cast(p_partkey as bigint) as chunk, {_DNA.format('p_partkey')} as bases from part"""),
+    "v_genome": (("part",), f"""
+        select rname, cast(p_partkey as bigint) as chunk, translate(md5(concat(rname, cast(p_partkey as string))), '{_HEX}', '{_BASES}') as bases
+        from (select 'A' as rname, p_partkey from part union all select 'N', p_partkey from part union all select 'R', p_partkey from part)"""),
 }
 
 
