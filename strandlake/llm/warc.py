@@ -30,8 +30,6 @@ MAGIC = b"\x1f\x8b\x08"
 LEAST_REVISIT_BYTES = 100
 SPLIT_BYTES = 32 << 20
 READ_BYTES = 1 << 20
-#: Longest WARC and HTTP headers that a candidate may have.
-HEADER_BYTES = 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -170,20 +168,17 @@ def _member(window: _Window, with_payload: bool) -> dict | None:
                 if not b"WARC/1.".startswith(head[:7]):
                     return None
                 if b"\r\n\r\n" not in head:
-                    if len(head) > HEADER_BYTES:
-                        return None
                     continue
                 found = _headers(head)
                 if found is None:
                     return None
                 raw, block_left = head[found[1] :], int(found[0]["content-length"])
+                body = not found[0].get("content-type", "").lower().startswith("application/http")
             raw, block_left = raw[:block_left], block_left - min(block_left, len(raw))
             if not body:
                 http += raw
                 at = http.find(b"\r\n\r\n")
                 if at < 0:
-                    if len(http) > HEADER_BYTES:
-                        return None
                     continue
                 raw, http, body = http[at + 4 :], http[:at], True
             digest.update(raw)

@@ -72,6 +72,19 @@ def test_every_range_finds_its_records():
     assert zlib.decompress(parts[0], 31).startswith(b"WARC")
 
 
+def test_long_headers_and_blocks_without_http():
+    import io
+
+    rng = random.Random(8)
+    url = "http://a/" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=120_000))
+    long = warc.record_bytes("urn:page:1", url, b"page", "d", 4, None, 6)
+    plain = {k: gzip.compress(b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Type: text/plain\r\nContent-Length: %d\r\n\r\n" % (k, len(b)) + b + b"\r\n\r\n") for k, b in ((2, b"short"), (3, b"x" * 200_000))}
+    blob = long + plain[2] + plain[3]
+    got = list(warc.records_in(io.BytesIO(blob), 0, len(blob), True))
+    assert [(r["record_id"], r["payload_bytes"]) for r in got] == [("urn:page:1", 4), ("urn:page:2", 5), ("urn:page:3", 200_000)]
+    assert got[0]["target_uri"] == url and got[1]["payload"] == b"short"
+
+
 def test_no_rows(spark, tmp_path):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archive_and_read(none, f"file://{tmp_path}/n").count() == 0
