@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words kept by a worker's hash cache before it starts over; bounds its memory to about 35 MB.
+#: Words kept by a worker's hash cache before it starts over, and the longest of them; bounds its memory to about 35 MB.
 CACHE_WORDS = 200_000
+CACHE_BYTES = 64
 
 _WHITE = bytes(range(9, 14)) + b" "
 _ALNUM = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -89,11 +90,12 @@ def tidy(run):
 
 
 class WordHash(dict):
-    """64-bit hashes of words (bytes), remembered for the words seen last."""
+    """64-bit hashes of words (bytes), remembered for the words seen last unless they are long."""
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        self[word] = value
+        if len(word) <= CACHE_BYTES:
+            self[word] = value
         return value
 
     def of(self, words: Sequence[bytes]) -> np.ndarray:

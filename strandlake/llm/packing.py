@@ -25,8 +25,9 @@ from strandlake.session import shipped
 
 MAX_LEN = 4096
 END_ID = 2
-#: Chunks, and words, whose ids a worker remembers at most: about 200 MB.
+#: Chunks, and words, whose ids a worker remembers at most: about 200 MB, as longer ones than these are not remembered.
 REMEMBERED = 500_000
+REMEMBERED_LENGTH = 48
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PIECES_IDS = PIECES + ", ids array<int>"
@@ -41,10 +42,11 @@ def vocabulary_path() -> str:
 class Encoder(dict):
     """Token ids of texts as little-endian unsigned 32-bit bytes, remembered by chunks between white space.
 
-    The tokenizer drops white space and never joins what white space parts, so a text's ids
-    are its chunks' ids in order. A chunk of plain letters, with a mark behind it or not, is
-    looked up by its lower-cased word, and a new word goes to the vocabulary's merges at
-    once; any other chunk goes through the whole tokenizer.
+    The tokenizer drops white space and never joins what white space parts, and its special
+    tokens hold none, so a text's ids are its chunks' ids in order. A chunk of plain letters,
+    with a mark behind it or not, is looked up by its lower-cased word, and a new word goes to
+    the vocabulary's merges at once; any other chunk goes through the whole tokenizer, where a
+    special token's text gives that token's id.
     """
 
     def __init__(self, path: str):
@@ -54,7 +56,6 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
 
@@ -63,7 +64,9 @@ class Encoder(dict):
         if found is None:
             spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_SPELLED)
             ids = [t.id for t in self.model.tokenize(spelled)]
-            found = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(word) <= REMEMBERED_LENGTH:
+                self.words[word] = found
         return found
 
     def __missing__(self, chunk: str) -> bytes:
@@ -75,7 +78,8 @@ class Encoder(dict):
             found = self._merged(plain[1].lower())
             if plain[2]:
                 found += self._merged(plain[2])
-        self[chunk] = found
+        if len(chunk) <= REMEMBERED_LENGTH:
+            self[chunk] = found
         return found
 
     def encode(self, text: str | None) -> bytes:

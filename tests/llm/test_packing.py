@@ -19,7 +19,6 @@ def test_round_trip(documents):
 
     frame, rows = documents
     tokenizer = Tokenizer.from_file(packing.vocabulary_path())
-    tokenizer.encode_special_tokens = True
     want = sorted(((d, tuple(tokenizer.encode(t or "", add_special_tokens=False).ids) + (2,)) for d, t in rows), key=repr)
     packed = packing.pack(frame, max_len=256, with_ids=True)
     assert packed.columns[:5] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
@@ -37,10 +36,14 @@ def test_round_trip(documents):
 
 
 def test_odd_texts():
-    e = packing.encoder(packing.vocabulary_path())
-    odd = ["İstanbul ǅ ΑΣ Σ a.b c.. d!? naïve é Å ﬁ don't I'LL 12ab \x85z a b <|endoftext|> 😀", "ŉ ſ", "\t\n", "É, ö. Ÿ; ẞ", "x" * 5000, "＂ — … ­ zero​width", "\x1c\x1d a\x0bb\x0cc"]
+    from tokenizers import Tokenizer
+
+    e, plain = packing.encoder(packing.vocabulary_path()), Tokenizer.from_file(packing.vocabulary_path())
+    odd = ["İstanbul ǅ ΑΣ Σ a.b c.. d!? naïve é Å ﬁ don't I'LL 12ab \x85z a b <|endoftext|> 😀", "ŉ ſ", "\t\n", "É, ö. Ÿ; ẞ", "x" * 5000, "＂ — … ­ zero​width", "\x1c\x1d a\x0bb\x0cc",
+           "a<|endoftext|>b <|startoftext|>", "<|endoftext|>\u0301 e", "x <|ENDOFTEXT|>y <|endoftext|", "<|endoftext|><|endoftext|>\n", "y" * 40_000 + " z"]
     for t in odd:
-        assert np.frombuffer(e.encode(t), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids, t
+        assert np.frombuffer(e.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    assert max(map(len, [*e, *e.words])) <= packing.REMEMBERED_LENGTH
 
 
 def test_no_rows_and_buckets(no_documents, documents, tmp_path):
