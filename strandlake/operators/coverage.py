@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.operators.dataflow import prefix_sums, small
+from strandlake.operators.dataflow import prefix_sums, prior_max, small
+from strandlake.session import written
 
 BIN = 5000
 KEYS = ("rname", "sample")
@@ -120,27 +121,38 @@ def mean_track(diffs: DataFrame, mapped: DataFrame, keys: Sequence[str] = ("rnam
     return prefix_sums(at, keys, "pos", ["wdiff"], bin_size).select(*keys, "pos", (F.col("run_wdiff") / n).alias("mean"))
 
 
-def median_track(coverage: DataFrame, mapped: DataFrame, library_size: float = 40.0) -> DataFrame:
+def median_track(coverage: DataFrame, mapped: DataFrame, library_size: float = 40.0, keys: Sequence[str] = ("rname",), bin_size: int = BIN) -> DataFrame:
     """Median normalized coverage over samples with mapped reads, at every position where some sample changes.
 
     A median isn't linear: each position gets a row for each sample, whose value is carried on
-    from its last change.
+    from its last change, inside bins of positions, and into a bin from the bins before it.
     """
     w = weights(mapped, library_size)
-    samples = [r["sample"] for r in w.select("sample").orderBy("sample").collect()]  # the samples' dimension
-    grid = coverage.select("rname", "pos").distinct().select("rname", "pos", F.explode(F.array(*map(F.lit, samples))).alias("sample"))
-    known = grid.join(coverage.select("rname", "pos", "sample", "cov"), ["rname", "pos", "sample"], "left")
-    on = Window.partitionBy("rname", "sample").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    filled = known.withColumn("cov", F.coalesce(F.last("cov", ignorenulls=True).over(on), F.lit(0)))
-    return filled.join(small(w), "sample").groupBy("rname", "pos").agg(F.median(F.col("cov") * F.col("weight")).alias("median"))
-
-
-def expressed_regions(runs: DataFrame, cutoff: float, max_gap: int = 3000, keys: Sequence[str] = ("rname",)) -> DataFrame:
-    """Touching runs at ``cutoff`` or above as regions, and regions no more than ``max_gap`` apart as clusters."""
-    w = Window.partitionBy(*keys).orderBy("start")
-    high = runs.where(F.col("value") >= cutoff)
-    marked = high.withColumn("_new", (F.col("start") != F.coalesce(F.lag("end_pos").over(w), F.lit(-1))).cast("int")).withColumn("_region", F.sum("_new").over(w))
+    samples = F.array(*(F.lit(r["sample"]) for r in w.select("sample").orderBy("sample").collect()))  # the samples' dimension
+    own = coverage.select(*keys, "pos", "sample", "cov").withColumn("bin", F.floor(F.col("pos") / bin_size))
+    grid = own.select(*keys, "bin", "pos").distinct().select("*", F.explode(samples).alias("sample"))
+    known = grid.join(own, [*keys, "bin", "pos", "sample"], "left")
+    on = Window.partitionBy(*keys, "sample", "bin").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    ends = own.groupBy(*keys, "sample", "bin").agg(F.max_by("cov", "pos").alias("_end"))
+    bins = own.select(*keys, "bin").distinct().select("*", F.explode(samples).alias("sample")).join(ends, [*keys, "sample", "bin"], "left")
+    before = Window.partitionBy(*keys, "sample").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = bins.select(*keys, "sample", "bin", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    filled = known.withColumn("_here", F.last("cov", ignorenulls=True).over(on)).join(carried, [*keys, "sample", "bin"])
+    filled = filled.select(*keys, "pos", "sample", F.coalesce("_here", "_carried", F.lit(0)).alias("cov"))
+    return filled.join(small(w), "sample").groupBy(*keys, "pos").agg(F.median(F.col("cov") * F.col("weight")).alias("median"))
+
+
+def expressed_regions(runs: DataFrame, cutoff: float, max_gap: int = 3000, keys: Sequence[str] = ("rname",), bin_size: int = BIN) -> DataFrame:
+    """Touching runs at ``cutoff`` or above as regions, and regions no more than ``max_gap`` apart as clusters.
+
+    Runs of a key don't overlap, so the end before a run is the greatest among all before.
+    Ends and running numbers are made in two levels, as elsewhere; runs and regions are written
+    to the scratch folder, as each level reads them anew.
+    """
+    high = prior_max(written(runs.where(F.col("value") >= cutoff), "runs"), keys, "start", "end_pos", bin_size)
+    marked = prefix_sums(high.withColumn("_new", (F.col("start") != F.coalesce("prior", F.lit(-1))).cast("int")), keys, "start", ["_new"], bin_size)
     bases = F.col("end_pos") - F.col("start")
-    regions = marked.groupBy(*keys, "_region").agg(F.min("start").alias("start"), F.max("end_pos").alias("end_pos"), (F.sum(F.col("value") * bases) / F.sum(bases)).alias("mean"))
-    far = (F.col("start") - F.coalesce(F.lag("end_pos").over(w), F.lit(-(1 << 40))) > max_gap).cast("int")
-    return regions.withColumn("_far", far).withColumn("cluster", F.sum("_far").over(w)).select(*keys, "start", "end_pos", "mean", "cluster")
+    regions = marked.groupBy(*keys, F.col("run__new").alias("_region")).agg(F.min("start").alias("start"), F.max("end_pos").alias("end_pos"), (F.sum(F.col("value") * bases) / F.sum(bases)).alias("mean"))
+    apart = prior_max(written(regions, "regions"), keys, "start", "end_pos", bin_size)
+    apart = apart.withColumn("_far", (F.col("start") - F.coalesce("prior", F.lit(-(1 << 40))) > max_gap).cast("int"))
+    return prefix_sums(apart, keys, "start", ["_far"], bin_size).select(*keys, "start", "end_pos", "mean", F.col("run__far").alias("cluster"))

@@ -83,6 +83,21 @@ def distinct_then_fan_out(df: DataFrame, key: str, work) -> DataFrame:
     return df.join(work(df.select(key).distinct()), key)
 
 
+def prior_max(df: DataFrame, keys: Sequence[str], pos: str, value: str, bin_size: int) -> DataFrame:
+    """``df`` with ``prior``: the greatest ``value`` of all rows at a lower ``pos`` within ``keys``, null for the first.
+
+    Made inside bins of ``bin_size`` positions and then across a key's bins, like ``prefix_sums``.
+    Needs one row per key and position.
+    """
+    binned = df.withColumn("_bin", F.floor(F.col(pos) / bin_size))
+    inside = Window.partitionBy(*keys, "_bin").orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = binned.groupBy(*keys, "_bin").agg(F.max(value).alias("_most"))
+    bins = bins.select(*keys, "_bin", F.max("_most").over(before).alias("_before"))
+    joined = binned.withColumn("_here", F.max(value).over(inside)).join(bins, [*keys, "_bin"])
+    return joined.select(*df.columns, F.greatest("_here", "_before").alias("prior"))
+
+
 def prefix_sums(df: DataFrame, keys: Sequence[str], pos: str, values: Sequence[str], bin_size: int) -> DataFrame:
     """Running sums of ``values`` by ``pos`` within ``keys``, in two levels.
 

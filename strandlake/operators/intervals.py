@@ -32,15 +32,21 @@ def direct_successors(introns: DataFrame, keys: Sequence[str], min_overlap: int
     """Pairs A, B of introns with B right of A and none between: the edges of the intron graph.
 
     What follows A directly begins before the least end among all that begin behind A. That
-    end comes from one sweep over starts from the right, and the pairs from a binned join, so
-    no intron is compared with all behind it.
+    end, and where the first of them begins, come from sweeps over starts from the right, inside
+    cells of ``bin_size`` positions and then across a key's cells, and the pairs from a binned
+    join, so no intron is compared with all behind it and no task sorts a whole contig.
     """
     nodes = introns.select(*keys, "start", "end_pos").distinct()
     points = nodes.select(*keys, (F.col("end_pos") + min_overlap).alias("at"), F.lit(None).cast("bigint").alias("stop"), F.lit(1).alias("ask"), "start", "end_pos")
     stops = nodes.select(*keys, F.col("start").alias("at"), F.col("end_pos").alias("stop"), F.lit(0).alias("ask"), "start", "end_pos")
-    back = Window.partitionBy(*keys).orderBy(F.col("at").desc(), "ask").rowsBetween(Window.unboundedPreceding, 0)
-    asked = points.unionByName(stops).withColumn("least", F.min("stop").over(back)).where("ask = 1 and least is not null")
-    reach = asked.select(*keys, F.col("start").alias("a_start"), F.col("end_pos").alias("a_end"), F.col("at").alias("lo"), (F.col("least") + min_overlap).alias("hi"))
+    events = points.unionByName(stops).withColumn("_cell", F.floor(F.col("at") / bin_size)).withColumn("begin", F.when(F.col("ask") == 0, F.col("at")))
+    back = Window.partitionBy(*keys, "_cell").orderBy(F.col("at").desc(), "ask").rowsBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy(*keys).orderBy(F.col("_cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    cells = events.groupBy(*keys, "_cell").agg(F.min("stop").alias("_stop"), F.min("begin").alias("_begin"))
+    cells = cells.select(*keys, "_cell", F.min("_stop").over(behind).alias("_stop"), F.min("_begin").over(behind).alias("_begin"))
+    asked = events.withColumn("_s", F.min("stop").over(back)).withColumn("_b", F.min("begin").over(back)).where("ask = 1").join(cells, [*keys, "_cell"])
+    asked = asked.withColumn("least", F.least("_s", "_stop")).where("least is not null")
+    reach = asked.select(*keys, F.col("start").alias("a_start"), F.col("end_pos").alias("a_end"), F.least("_b", "_begin").alias("lo"), (F.col("least") + min_overlap).alias("hi"))
     reach = reach.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("lo") / bin_size), F.floor((F.col("hi") - 1) / bin_size))))
     begin = nodes.select(*keys, F.col("start").alias("b_start"), F.col("end_pos").alias("b_end"), F.floor(F.col("start") / bin_size).alias("_bin"))
     return reach.join(begin, [*keys, "_bin"]).where("b_start >= lo and b_start < hi").select(*keys, "a_start", "a_end", "b_start", "b_end")

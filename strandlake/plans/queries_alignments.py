@@ -8,7 +8,6 @@ from strandlake.functions import align
 from strandlake.operators import alignments as al
 from strandlake.plans.registry import query
 from strandlake.plans.views import sql, view
-from strandlake.session import shipped
 
 FIRST_TIE = "ties AS (SELECT qname, alt, min(weight) AS weight, min(as_score) AS as_score, min(n_junctions) AS n_junctions, 36 AS read_length FROM v_ties GROUP BY qname, alt)"
 
@@ -188,12 +187,68 @@ chain AS (SELECT qname, rname, s, pos, d, 1 AS n FROM hits UNION ALL
   SELECT h.qname, h.rname, h.s, h.pos, h.d, c.n + 1 FROM chain c JOIN hits h ON h.qname = c.qname AND h.rname = c.rname AND h.s = c.s AND h.pos > c.pos AND h.d > c.d)
 SELECT qname, CAST(max(n) AS BIGINT) AS size FROM chain GROUP BY qname""", "v_alignments").replace("WITH v_alignments", "WITH RECURSIVE v_alignments").replace("RECURSIVE hits", "hits"))
 def longest_chain(spark, sf):
-    import pandas as pd
+    from strandlake.operators.chains import longest_chains
+
+    hits = view(spark, sf, "v_alignments").select("qname", "rname", F.col("flag").bitwiseAND(F.lit(16)).alias("reverse"), "pos", F.col("alt").alias("disp")).distinct()
+    return longest_chains(hits, ["qname"]).select("qname", "size")
+
+
+# Hits ranked by a hash; each joins the first pivot next to it, or becomes one.
+CLUSTERS = """
+numbered AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY rname, reverse, pos, end_pos, disp, piece) AS place FROM v_hits),
+near AS (SELECT *, coalesce(lag(place) OVER w, 0) AS prior, coalesce(lead(place) OVER w, 1000000) AS next,
+  row_number() OVER (PARTITION BY read_id ORDER BY md5(concat_ws(':', CAST(read_id AS VARCHAR), rname, CAST(reverse AS VARCHAR), CAST(pos AS VARCHAR), CAST(end_pos AS VARCHAR), CAST(disp AS VARCHAR), CAST(piece AS VARCHAR)))) AS k
+  FROM numbered WINDOW w AS (PARTITION BY read_id, piece ORDER BY place)),
+pairs AS (SELECT p.read_id, p.place AS pivot, p.k AS pk, x.place, x.k FROM near p JOIN near x ON p.read_id = x.read_id AND p.k < x.k AND p.rname = x.rname AND p.reverse = x.reverse AND p.piece <> x.piece
+  WHERE (p.disp = x.disp) = (p.pos = x.pos) AND (p.disp = x.disp OR (p.disp < x.disp) = (p.pos < x.pos))
+  AND CASE WHEN p.place < x.place THEN p.next > x.place AND x.prior < p.place ELSE x.next > p.place AND p.prior < x.place END),
+around AS (SELECT n.read_id, n.k, n.place, coalesce(list(pairs.pivot ORDER BY pk) FILTER (WHERE pairs.pivot IS NOT NULL), []) AS earlier
+  FROM near n LEFT JOIN pairs ON pairs.read_id = n.read_id AND pairs.place = n.place GROUP BY n.read_id, n.k, n.place),
+walk AS (SELECT read_id, k, place, place AS cluster, [place] AS pivots FROM around WHERE k = 1 UNION ALL
+  SELECT read_id, k, place, coalesce(own, place), CASE WHEN own IS NULL THEN list_append(pivots, place) ELSE pivots END
+  FROM (SELECT a.read_id, a.k, a.place, w.pivots, list_filter(a.earlier, lambda e: list_contains(w.pivots, e))[1] AS own FROM walk w JOIN around a ON a.read_id = w.read_id AND a.k = w.k + 1)),
+clustered AS (SELECT n.*, walk.cluster FROM numbered n JOIN walk USING (read_id, place))"""
+
+
+@query("pivot_clusters", sql(f"WITH {CLUSTERS.strip()} SELECT read_id, CAST(place AS INT) AS place, CAST(cluster AS INT) AS cluster, rname, reverse, pos, end_pos, disp, piece FROM clustered", "v_hits").replace("WITH v_hits", "WITH RECURSIVE v_hits", 1))
+def pivot_clusters(spark, sf):
+    from strandlake.operators.chains import pivot_clusters as clusters
+
+    return clusters(view(spark, sf, "v_hits"), ["read_id"])
+
+
+@query("unique_chains", sql(f"""WITH {CLUSTERS.strip()},
+spots AS (SELECT read_id, cluster, disp, pos, count(*) AS n FROM clustered GROUP BY ALL),
+chain AS (SELECT read_id, cluster, disp, pos, n, [concat(disp, ':', pos)] AS path FROM spots UNION ALL
+  SELECT c.read_id, c.cluster, s.disp, s.pos, c.n + s.n, list_append(c.path, concat(s.disp, ':', s.pos)) FROM chain c JOIN spots s ON s.read_id = c.read_id AND s.cluster = c.cluster AND s.disp > c.disp AND s.pos > c.pos),
+top AS (SELECT * FROM (SELECT *, max(n) OVER (PARTITION BY read_id) AS most FROM chain) WHERE n = most),
+sole AS (SELECT read_id, any_value(cluster) AS cluster, any_value(path) AS path FROM top GROUP BY read_id HAVING count(*) = 1)
+SELECT c.read_id, c.rname, c.reverse, c.pos, c.end_pos, c.disp, c.piece FROM clustered c JOIN sole s ON c.read_id = s.read_id AND c.cluster = s.cluster AND list_contains(s.path, concat(c.disp, ':', c.pos))""", "v_hits").replace("WITH v_hits", "WITH RECURSIVE v_hits", 1))
+def unique_chains(spark, sf):
+    from strandlake.operators.chains import selected_hits
+
+    return selected_hits(view(spark, sf, "v_hits"), ["read_id"])
+
+
+@query("lift_over", sql("""
+WITH a AS MATERIALIZED (SELECT *, row_number() OVER () AS rid, exon1 AS b1, exon1 + exon2 AS b2, least(shift, exon1 + exon2 + 20) AS "from", regexp_extract_all(cigar, '([0-9]+)[A-Z]', 1) AS ns, regexp_extract_all(cigar, '[0-9]+([A-Z])', 1) AS os FROM v_lifted),
+ops AS (SELECT rid, b1, b2, intron1, intron2, "from", i, CAST(ns[i] AS BIGINT) AS n, os[i] AS op FROM (SELECT *, unnest(generate_series(1, len(ns))) AS i FROM a)),
+units AS (SELECT *, unnest(generate_series(1, n)) AS u FROM ops),
+spots AS (SELECT *, "from" + coalesce(count(*) FILTER (WHERE op IN ('M', 'D')) OVER (PARTITION BY rid ORDER BY i, u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS here FROM units),
+put AS (SELECT rid, i, u, 1 AS o, op, 1 AS n FROM spots UNION ALL
+  SELECT rid, i, u, 0, 'N', CASE WHEN here = b1 THEN intron1 ELSE intron2 END FROM spots WHERE op IN ('M', 'D') AND here > "from" AND (here = b1 OR here = b2)),
+marked AS (SELECT *, CASE WHEN lag(op) OVER w = op THEN 0 ELSE 1 END AS fresh FROM put WINDOW w AS (PARTITION BY rid ORDER BY i, u, o)),
+runs AS (SELECT *, sum(fresh) OVER (PARTITION BY rid ORDER BY i, u, o) AS run FROM marked),
+summed AS (SELECT rid, run, any_value(op) AS op, CAST(sum(n) AS BIGINT) AS n FROM runs GROUP BY rid, run),
+texts AS (SELECT rid, string_agg(concat(n, op), '' ORDER BY run) AS genome_cigar FROM summed GROUP BY rid HAVING count(*) FILTER (WHERE op = 'N') > 0)
+SELECT a.read_id, a.alt, a.start + a."from" + CASE WHEN a."from" >= b1 THEN intron1 ELSE 0 END + CASE WHEN a."from" >= b2 THEN intron2 ELSE 0 END AS genome_pos, genome_cigar
+FROM a JOIN texts USING (rid)""", "v_lifted"))
+def lift_over(spark, sf):
+    from strandlake.operators.introns import lift_over as lifted
 
-    from strandlake.operators.graph import longest_chains
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        hits = {(r, bool(f & 16), int(p), int(p) + 1, int(a)) for r, f, p, a in zip(group["rname"], group["flag"], group["pos"], group["alt"])}
-        return pd.DataFrame({"qname": [group["qname"].iloc[0]], "size": [longest_chains(sorted(hits))[0]]})
-
-    return shipped(view(spark, sf, "v_alignments")).select("qname", "rname", "flag", "pos", "alt").groupBy("qname").applyInPandas(run, "qname long, size long")
+    c = F.col
+    rows = view(spark, sf, "v_lifted").select(
+        "read_id", "alt", "start", F.array("exon1", "exon2", F.lit(80).cast("bigint")).alias("exons"), F.array(c("intron1").cast("bigint"), c("intron2").cast("bigint")).alias("introns"),
+        F.least("shift", c("exon1") + c("exon2") + 20).alias("from"), "cigar",
+    )
+    return lifted(rows, "start", "exons", "introns", "from", "cigar").where("genome_cigar is not null").select("read_id", "alt", "genome_pos", "genome_cigar")

@@ -144,6 +144,23 @@ def nonref_mean(spark, sf):
     return track.select("rname", "base", "pos", F.round(F.col("mean") + 1e-7, 3).alias("mean"))
 
 
+@query("nonref_median", sql(f"""
+WITH {WEIGHTS},
+d AS (SELECT rname, base, sample, pos, sum(diff) AS diff FROM (
+  SELECT rname, base, sample, pos, 1 AS diff FROM v_intervals WHERE NOT is_ref AND base IN ('A','C','G','T') UNION ALL
+  SELECT rname, base, sample, end_pos, -1 FROM v_intervals WHERE NOT is_ref AND base IN ('A','C','G','T')) GROUP BY ALL),
+cov AS (SELECT rname, base, sample, pos, sum(diff) OVER (PARTITION BY rname, base, sample ORDER BY pos) AS cov FROM d),
+grid AS (SELECT DISTINCT rname, base, pos, w.sample FROM cov, w),
+filled AS (SELECT g.rname, g.base, g.pos, g.sample, coalesce(last_value(c.cov IGNORE NULLS) OVER (PARTITION BY g.rname, g.base, g.sample ORDER BY g.pos ROWS UNBOUNDED PRECEDING), 0) AS cov
+           FROM grid g LEFT JOIN cov c ON g.rname = c.rname AND g.base = c.base AND g.pos = c.pos AND g.sample = c.sample)
+SELECT rname, base, pos, round(median(cov * weight), 6) AS median FROM filled JOIN w USING (sample) GROUP BY rname, base, pos""", "v_intervals"))
+def nonref_median(spark, sf):
+    mism = view(spark, sf, "v_intervals").where("not is_ref and base in ('A', 'C', 'G', 'T')")
+    keys = ("rname", "base", "sample")
+    cov = cv.binned_coverage(cv.exon_diffs(mism, (*keys, "uniq")), keys)
+    return cv.median_track(cov, _mapped(spark, sf), keys=("rname", "base")).select("rname", "base", "pos", F.round("median", 6).alias("median"))
+
+
 @query("interval_bins", sql("""
 SELECT rname, sample, pos, end_pos, bin, bin * 5000 + 1 AS bin_start, (bin + 1) * 5000 + 1 AS bin_end FROM (
   SELECT rname, sample, pos, end_pos, unnest(generate_series(CAST(floor((pos - 2) / 5000.0) AS BIGINT), CAST(floor((end_pos - 2) / 5000.0) AS BIGINT))) AS bin FROM v_intervals)""", "v_intervals"))

@@ -130,7 +130,8 @@ def direct_successor(spark, sf):
     return iv.direct_successors(view(spark, sf, "v_introns"), ["rname", "sample"], 9)
 
 
-_RUN = "array_to_string(starts, ',') AS starts, array_to_string(ends, ',') AS ends, size"
+def _text(c):
+    return F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
 
 
 @query("bounded_paths", sql(f"""WITH {EDGES.strip()},
@@ -143,12 +144,11 @@ stop AS (SELECT rname, sample, starts, ends FROM walk w WHERE
   OR EXISTS (SELECT 1 FROM edges x WHERE x.rname = w.rname AND x.sample = w.sample AND x.a_start = w.s AND x.a_end = w.e AND w.total + x.b_start - w.e >= 79))
 SELECT DISTINCT rname AS rname_strand, array_to_string(starts, ',') AS starts, array_to_string(ends, ',') AS ends FROM stop""", "v_introns").replace("WITH v_introns", "WITH RECURSIVE v_introns", 1))
 def bounded_paths(spark, sf):
-    from strandlake.operators.graph import intron_configurations
+    from strandlake.operators.paths import intron_configurations
 
     introns = view(spark, sf, "v_introns").withColumnRenamed("rname", "rname_strand")
-    runs = intron_configurations(introns, 80, 9)
-    text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
-    return runs.select("rname_strand", text("starts"), text("ends")).distinct()
+    runs = intron_configurations(introns, ["rname_strand", "sample"], 80, 9)
+    return runs.select("rname_strand", _text("starts"), _text("ends")).distinct()
 
 
 @query("exon_gaps", sql("""
@@ -189,43 +189,102 @@ def cojunction_length(spark, sf):
     return gaps.groupBy("transcript").agg(F.coalesce(F.sum(F.col("start") - F.col("before")), F.lit(0)).cast("bigint").alias("bases"))
 
 
-@query("cojunction_runs")
+@query("cojunction_runs", sql("""
+WITH runs AS (SELECT DISTINCT read, rname_strand, CASE WHEN s2 IS NULL THEN [s1] ELSE [s1, s2] END AS starts, CASE WHEN e2 IS NULL THEN [e1] ELSE [e1, e2] END AS ends FROM v_cojunctions),
+n AS (SELECT *, starts[1] AS low, ends[len(ends)] AS high, coalesce(list_sum(list_transform(generate_series(2, len(starts)), lambda i: starts[i] - ends[i - 1])), 0) AS inside FROM runs),
+edges AS (SELECT a.read, a.rname_strand, a.starts AS a_starts, a.ends AS a_ends, b.starts AS b_starts, b.ends AS b_ends FROM n a JOIN n b ON a.read = b.read AND a.rname_strand = b.rname_strand
+  WHERE b.low > a.high AND b.low - a.high + a.inside + b.inside + 2 <= 60),
+heads AS (SELECT DISTINCT read, rname_strand, a_starts AS starts, a_ends AS ends FROM edges), tails AS (SELECT DISTINCT read, rname_strand, b_starts AS starts, b_ends AS ends FROM edges),
+sources AS (SELECT * FROM heads EXCEPT SELECT * FROM tails), sinks AS (SELECT * FROM tails EXCEPT SELECT * FROM heads),
+walk AS (SELECT read, rname_strand, starts AS last_starts, ends AS last_ends, starts, ends FROM sources UNION ALL
+  SELECT w.read, w.rname_strand, e.b_starts, e.b_ends, list_concat(w.starts, e.b_starts), list_concat(w.ends, e.b_ends) FROM walk w JOIN edges e ON e.read = w.read AND e.rname_strand = w.rname_strand AND e.a_starts = w.last_starts AND e.a_ends = w.last_ends),
+whole AS (SELECT read, rname_strand, starts, ends FROM walk WHERE (read, rname_strand, last_starts, last_ends) IN (SELECT (read, rname_strand, starts, ends) FROM sinks)
+  UNION ALL (SELECT read, rname_strand, starts, ends FROM runs EXCEPT (SELECT * FROM sources UNION ALL SELECT * FROM sinks))),
+counted AS (SELECT w.*, c.n AS n FROM whole w JOIN (SELECT read, rname_strand, count(*) AS n FROM runs GROUP BY ALL) c USING (read, rname_strand)),
+parts AS (SELECT read, rname_strand, starts, ends FROM counted UNION ALL SELECT read, rname_strand, starts[2:], ends[2:] FROM counted WHERE n > 1
+  UNION ALL SELECT read, rname_strand, starts[1:len(starts) - 1], ends[1:len(ends) - 1] FROM counted WHERE n > 1 UNION ALL SELECT read, rname_strand, starts[2:len(starts) - 1], ends[2:len(ends) - 1] FROM counted WHERE n > 1)
+SELECT DISTINCT read, rname_strand, array_to_string(starts, ',') AS starts, array_to_string(ends, ',') AS ends FROM parts WHERE len(starts) > 0""", "v_cojunctions").replace("WITH v_cojunctions", "WITH RECURSIVE v_cojunctions", 1))
 def cojunction_runs(spark, sf):
-    """Runs of introns of a read joined and trimmed; tested against hand-worked cases.
+    from strandlake.operators.paths import combined_runs
 
-    Reads a third of the introns only; on all of them the smallest tables took too long.
-    """
-    from strandlake.operators.graph import combined_runs, intron_configurations
+    pair = lambda a, b: F.filter(F.array(a, b), lambda x: x.isNotNull())
+    runs = view(spark, sf, "v_cojunctions").select("read", "rname_strand", pair("s1", "s2").alias("starts"), pair("e1", "e2").alias("ends"))
+    return combined_runs(runs, 60).select("read", "rname_strand", _text("starts"), _text("ends"))
 
-    introns = view(spark, sf, "v_introns").where("start % 120 = 0").withColumnRenamed("rname", "rname_strand")
-    runs = intron_configurations(introns, 80, 9)
-    runs = runs.withColumn("read", F.concat(F.lit("r"), (F.col("starts")[0] / 400).cast("int").cast("string")))
-    return combined_runs(runs.select("read", "rname_strand", "starts", "ends"), 100)
 
-
-@query("fragment_sequences")
+@query("fragment_sequences", sql(f"""WITH {EDGES.strip()},
+walk AS (SELECT rname, sample, [start] AS starts, [end_pos] AS ends, start AS s, end_pos AS e, CAST(0 AS BIGINT) AS total, CAST(-1 AS BIGINT) AS prior FROM n
+  UNION ALL SELECT w.rname, w.sample, list_append(w.starts, x.b_start), list_append(w.ends, x.b_end), x.b_start, x.b_end, w.total + x.b_start - w.e, x.b_start - w.e
+  FROM walk w JOIN edges x ON x.rname = w.rname AND x.sample = w.sample AND x.a_start = w.s AND x.a_end = w.e
+  WHERE w.total + x.b_start - w.e < 34 AND (w.prior < 0 OR w.prior + x.b_start - w.e >= 25)),
+stop AS (SELECT w.rname, w.sample, starts, ends, least(34, coalesce(x.b_start - w.e, 34)) AS right_ext FROM walk w LEFT JOIN edges x ON x.rname = w.rname AND x.sample = w.sample AND x.a_start = w.s AND x.a_end = w.e
+  WHERE x.b_start IS NULL OR w.total + x.b_start - w.e >= 34),
+before AS (SELECT rname, sample, b_start, b_end, max(b_start - a_end) AS gap FROM edges GROUP BY ALL),
+placed AS (SELECT DISTINCT s.rname, starts, ends, right_ext, greatest(starts[1] - least(34, coalesce(gap, starts[1] - greatest(starts[1] - 34, 1))), 1) AS start
+  FROM stop s LEFT JOIN before b ON b.rname = s.rname AND b.sample = s.sample AND b.b_start = starts[1] AND b.b_end = ends[1]),
+spans AS (SELECT rname, start, list_prepend(start, ends) AS lows, list_append(starts, ends[len(ends)] + right_ext) AS highs, list_transform(generate_series(1, len(starts)), lambda i: ends[i] - starts[i]) AS introns FROM placed),
+genome AS (SELECT rname, concat(string_agg(bases, '' ORDER BY chunk), repeat('N', 200000)) AS g FROM v_reference GROUP BY rname)
+SELECT DISTINCT rname, '+' AS strand, start, array_to_string(list_transform(generate_series(1, len(lows)), lambda i: highs[i] - lows[i]), ',') AS exon_sizes, array_to_string(introns, ',') AS intron_sizes,
+  array_to_string(list_transform(generate_series(1, len(lows)), lambda i: substr(g, lows[i], highs[i] - lows[i])), '') AS sequence FROM spans JOIN genome USING (rname)""", "v_introns", "v_reference").replace("WITH v_introns", "WITH RECURSIVE v_introns", 1))
 def fragment_sequences(spark, sf):
-    """Spliced reference around runs of introns; tested against slices of a whole contig."""
-    from strandlake.operators.graph import intron_configurations
-
-    introns = view(spark, sf, "v_introns").withColumnRenamed("rname", "rname_strand")
-    configs = intron_configurations(introns, 35, 9).select(F.col("rname_strand").alias("rname"), F.lit("+").alias("strand"), "starts", "ends", "left_ext", "right_ext").distinct()
-    return iv.fragments(configs, view(spark, sf, "v_genome"), 32)
-
-
-@query("junction_search")
+    from strandlake.operators.paths import intron_configurations
+
+    configs = intron_configurations(view(spark, sf, "v_introns"), ["rname", "sample"], 35, 9)
+    configs = configs.select("rname", F.lit("+").alias("strand"), "starts", "ends", "left_ext", "right_ext").distinct()
+    return iv.fragments(configs, view(spark, sf, "v_reference"), 32).select("rname", "strand", "start", _text("exon_sizes"), _text("intron_sizes"), "sequence")
+
+
+MOTIFS = "('GTAG', 'GCAG', 'ATAC', 'CTAC', 'CTGC', 'GTAT')"
+BACK = "IN ('CTAC', 'CTGC', 'GTAT')"
+SCORE = "-levenshtein(replace(part, 'N', '?'), replace({}, 'N', '!'))"
+JUNCTIONS = f"""
+genome AS (SELECT rname, sum(length(bases)) AS size, concat(string_agg(bases, '' ORDER BY chunk), repeat('N', 4000)) AS g FROM v_reference GROUP BY rname),
+reads AS (SELECT r.*, g, size, concat(substr(g, p, lead), substr(g, p + lead + intron, 30)) AS read, p + lead + intron AS q FROM v_split_reads r JOIN genome USING (rname)),
+own AS (SELECT read_id, 0 AS disp, p AS pos, p + 25 AS end_pos FROM reads WHERE NOT headless UNION ALL
+  SELECT read_id, lead + 3, q + 3, q + CASE WHEN tailless THEN 16 ELSE 25 END FROM reads),
+ends AS (SELECT read_id, arg_min(struct_pack(disp := disp, pos := pos), disp) AS a, arg_max(struct_pack(disp := disp, pos := pos, end_pos := end_pos), disp) AS b FROM own GROUP BY read_id),
+asked AS (SELECT read_id, 'head' AS kind, reverse(substr(read, 1, a.disp)) AS query, reverse(substr(g, greatest(a.pos - 1001, 0) + 1, a.pos - 1 - greatest(a.pos - 1001, 0))) AS win FROM reads JOIN ends USING (read_id) WHERE a.disp >= 9 UNION ALL
+  SELECT read_id, 'tail', right(read, rest), substr(g, b.end_pos, least(1000, CAST(size AS BIGINT) - b.end_pos + 1)) FROM (SELECT *, length(read) - (b.end_pos - b.pos + b.disp) AS rest FROM reads JOIN ends USING (read_id)) WHERE rest >= 9 AND b.end_pos + rest - 1 <= size),
+places AS (SELECT * FROM (SELECT *, unnest(generate_series(length(query) - 9, length(win) - 9)) AS w FROM asked) WHERE substr(win, w + 1, 9) = right(query, 9)),
+fine AS (SELECT read_id, kind FROM places GROUP BY read_id, kind, query HAVING count(*) <= 5 AND min(w) > length(query) - 9),
+sizes AS (SELECT read_id, kind, w + 9 - k AS "offset", k FROM (SELECT *, unnest(generate_series(9, least(length(query), w + 9))) AS k FROM places) WHERE substr(win, w + 10 - k, k) = right(query, k)),
+found AS (SELECT read_id, kind, arg_min("offset", struct_pack(a := -k, b := "offset")) AS "offset", max(k) AS size FROM sizes JOIN fine USING (read_id, kind) GROUP BY read_id, kind),
+hits AS (SELECT read_id, 1 AS o, disp, pos, end_pos FROM own UNION ALL
+  SELECT read_id, 0, 0, a.pos - "offset" - size, a.pos - "offset" FROM found JOIN ends USING (read_id) WHERE kind = 'head' UNION ALL
+  SELECT f.read_id, 2, length(read) - f.size, b.end_pos + "offset", b.end_pos + "offset" + f.size FROM found f JOIN ends USING (read_id) JOIN reads USING (read_id) WHERE kind = 'tail'),
+paired AS (SELECT read_id, pos AS ls, end_pos AS le, disp AS ld, lead(pos) OVER w AS rs, lead(end_pos) OVER w AS re, lead(disp) OVER w AS rd, row_number() OVER w AS gap FROM hits WINDOW w AS (PARTITION BY read_id ORDER BY o, disp, pos, end_pos)),
+gaps AS (SELECT *, re - ls - span AS missing FROM (SELECT *, rd + re - rs - ld AS span FROM paired WHERE rs IS NOT NULL)),
+wide AS (SELECT gaps.*, read, g, substr(read, ld + 1, span) AS part, least(le, rs - missing) - 5 AS s0, greatest(le, rs - missing) + 3 AS s1, least(rs, le + missing) - 5 AS e0, greatest(rs, le + missing) + 5 AS e1
+  FROM gaps JOIN reads USING (read_id) WHERE missing > 10),
+plain AS (SELECT * FROM (SELECT *, s + missing AS e, concat(substr(g, s, 2), substr(g, s + missing - 2, 2)) AS m FROM (SELECT *, unnest(generate_series(s0, s1)) AS s FROM wide)) WHERE m IN {MOTIFS}),
+first AS (SELECT read_id, gap, length(read) AS n, {SCORE.format("concat(substr(g, ls, greatest(s - ls, 0)), substr(g, e, greatest(re - e, 0)))")} AS score, m {BACK} AS back, s, e FROM plain),
+longer AS (SELECT *, ld + s - ls AS from_read, e - s - missing AS size FROM (SELECT *, unnest(generate_series(greatest(e0, s + missing + 9), e1)) AS e FROM (SELECT *, unnest(generate_series(s0, s1)) AS s FROM wide)) WHERE concat(substr(g, s, 2), substr(g, e - 2, 2)) IN {MOTIFS}),
+exons AS (SELECT * FROM (SELECT *, substr(read, from_read + 1, size) AS exon FROM longer WHERE from_read >= 0) WHERE length(exon) = size),
+parts AS (SELECT *, s AS lo, e AS hi FROM exons WHERE e - s <= 2000 UNION ALL SELECT *, s, s + 1000 FROM exons WHERE e - s > 2000 UNION ALL SELECT *, e - 1000, e FROM exons WHERE e - s > 2000),
+spots AS (SELECT * FROM (SELECT *, unnest(generate_series(lo + 2, hi - 2 - size)) AS x FROM parts WHERE contains(substr(g, lo, hi - lo), exon)) WHERE substr(g, x, size) = exon),
+second AS (SELECT read_id, gap, length(read) AS n, {SCORE.format("concat(substr(g, ls, greatest(s - ls, 0)), exon, substr(g, e, greatest(re - e, 0)))")} AS score, *
+  FROM (SELECT * EXCLUDE (read_id, gap), read_id, gap, concat(substr(g, s, 2), substr(g, x - 2, 2)) AS m1, concat(substr(g, x + size, 2), substr(g, e - 2, 2)) AS m2 FROM spots) WHERE m1 IN {MOTIFS} AND m2 IN {MOTIFS}),
+every AS (SELECT * FROM first UNION ALL SELECT read_id, gap, n, score, m1 {BACK}, s, x FROM second WHERE x - s >= 10 UNION ALL SELECT read_id, gap, n, score, m2 {BACK}, x + size, e FROM second WHERE e - x - size >= 10),
+best AS (SELECT * FROM (SELECT *, max(score) OVER (PARTITION BY read_id, gap) AS top FROM every) WHERE score = top AND score >= -10 * n / 100.0),
+introns AS (SELECT DISTINCT read_id, concat(rname, CASE WHEN back THEN '-' ELSE '+' END) AS rname_strand, s AS start, e AS end_pos, sample FROM best JOIN v_split_reads USING (read_id))
+SELECT rname_strand, start, end_pos, sample, CAST(1 AS BIGINT) AS "count" FROM introns"""
+
+
+@query("junction_search", sql(f"WITH {JUNCTIONS.strip()}", "v_reference", "v_split_reads"))
 def junction_search(spark, sf):
-    """Junctions inferred from reads cut out of the reference with a gap of 100 bases in their middle; tested against planted introns."""
-    from strandlake.operators.graph import search_junctions
+    """Introns of reads cut out of the reference around one, some without a hit at either end."""
+    from strandlake.functions.seq import revcomp
+    from strandlake.operators.introns import search_junctions
 
+    c = F.col
     chunks = view(spark, sf, "v_reference")
     contigs = chunks.groupBy("rname").agg(F.sum(F.length("bases")).alias("length"))
-    starts = contigs.select("rname", F.explode(F.sequence(F.lit(31).cast("bigint"), F.col("length") - 200, F.lit(30).cast("bigint"))).alias("p"))
-    halves = starts.select("rname", "p", F.explode(F.array(F.lit(0), F.lit(1))).alias("piece")).withColumn("pos", F.col("p") + 125 * F.col("piece"))
-    cut = iv.stretches(halves.withColumn("offset", F.col("pos") - 1).withColumn("size", F.lit(25).cast("bigint")), chunks, 32)
-    reads = cut.groupBy("rname", "p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "seq"))), lambda x: x["seq"]), "").alias("read_seq"))
-    hits = halves.join(reads, ["rname", "p"]).select(
-        F.col("p").alias("read_id"), F.lit(0).alias("sample"), "read_seq", "piece", "rname", F.lit(False).alias("reverse"),
-        "pos", (F.col("pos") + 25).alias("end_pos"), (25 * F.col("piece")).alias("disp"),
-    )
-    return search_junctions(hits, chunks, 32, contigs, max_edits=10)
+    reads = view(spark, sf, "v_split_reads").withColumn("q", c("p") + c("lead") + c("intron"))
+    ends = reads.select("read_id", "rname", F.explode(F.array(F.struct(F.lit(0).alias("part"), c("p").alias("pos"), c("lead").alias("size")), F.struct(F.lit(1).alias("part"), c("q").alias("pos"), F.lit(30).cast("bigint").alias("size")))).alias("x"))
+    cut = iv.stretches(ends.select("read_id", "rname", "x.part", (c("x.pos") - 1).alias("offset"), "x.size"), chunks, 32)
+    seqs = cut.groupBy("read_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "seq"))), lambda x: x["seq"]), "").alias("seq"))
+    hit = lambda pos, end, disp: F.struct(pos.alias("pos"), end.alias("end_pos"), disp.cast("int").alias("disp"))
+    first, second = hit(c("p"), c("p") + 25, F.lit(0)), hit(c("q") + 3, c("q") + F.when(c("tailless"), 16).otherwise(25), c("lead") + 3)
+    hits = reads.join(seqs, "read_id").withColumn("read_seq", F.when(c("reverse"), revcomp(c("seq"))).otherwise(c("seq")))
+    hits = hits.select("read_id", "sample", "read_seq", "rname", "reverse", F.explode(F.when(c("headless"), F.array(second)).otherwise(F.array(first, second))).alias("h"))
+    return search_junctions(hits.select("read_id", "sample", "read_seq", "rname", "reverse", "h.*"), chunks, 32, contigs, max_edits=10)

@@ -105,15 +105,15 @@ def readletize(spark, sf):
 
 
 @query("seed_join", sql("""
-WITH kmers AS (SELECT rname, chunk * 32 + i AS pos, substr(bases, CAST(i + 1 AS INT), 6) AS kmer FROM v_reference, (SELECT unnest(generate_series(0, 26)) AS i)),
+WITH kmers AS (SELECT rname, chunk * 32 + i AS pos, substr(bases, CAST(i + 1 AS INT), 10) AS kmer FROM v_reference, (SELECT unnest(generate_series(0, 22)) AS i)),
 rare AS (SELECT *, count(*) OVER (PARTITION BY kmer) AS n FROM kmers)
-SELECT qname, rname, pos FROM v_reads JOIN rare ON substr(seq, 1, 6) = kmer WHERE n <= 30""", "v_reads", "v_reference"))
+SELECT qname, rname, pos FROM v_reads JOIN rare ON substr(seq, 1, 10) = kmer WHERE n <= 30""", "v_reads", "v_reference"))
 def seed_join(spark, sf):
     ref = view(spark, sf, "v_reference")
-    kmers = ref.select("rname", "chunk", "bases", F.explode(F.sequence(F.lit(0), F.lit(26))).alias("i")).select(
-        "rname", (F.col("chunk") * 32 + F.col("i")).alias("pos"), F.substring(F.col("bases"), F.col("i") + 1, F.lit(6)).alias("kmer")
+    kmers = ref.select("rname", "chunk", "bases", F.explode(F.sequence(F.lit(0), F.lit(22))).alias("i")).select(
+        "rname", (F.col("chunk") * 32 + F.col("i")).alias("pos"), F.substring(F.col("bases"), F.col("i") + 1, F.lit(10)).alias("kmer")
     )
-    seeds = view(spark, sf, "v_reads").select("qname", F.substring("seq", 1, 6).alias("kmer"))
+    seeds = view(spark, sf, "v_reads").select("qname", F.substring("seq", 1, 10).alias("kmer"))
     return al.seed_hits(seeds, kmers, 30).select("qname", "rname", "pos")
 
 
@@ -131,16 +131,16 @@ def fanout_duplicates(spark, sf):
 
 
 @query("get_stretch", sql("""
-WITH asked AS (SELECT DISTINCT 'A' AS rname, o_custkey * 5 - 40 AS "offset", 20 + o_orderkey % 60 AS size FROM orders),
-genome AS (SELECT string_agg(bases, '' ORDER BY chunk) AS g FROM v_reference)
+WITH asked AS (SELECT DISTINCT substr('ANR', CAST(o_orderkey % 3 + 1 AS INT), 1) AS rname, o_custkey * 5 - 40 AS "offset", 20 + o_orderkey % 60 AS size FROM orders),
+genome AS (SELECT rname, string_agg(bases, '' ORDER BY chunk) AS g FROM v_reference GROUP BY rname)
 SELECT rname, "offset", size,
   rpad(concat(repeat('N', CAST(greatest(0, least(size, -"offset")) AS INT)),
        CASE WHEN "offset" + size > 0 THEN substr(g, CAST(greatest("offset", 0) + 1 AS INT), CAST(greatest(0, "offset" + size - greatest("offset", 0)) AS INT)) ELSE '' END), CAST(size AS INT), 'N') AS seq
-FROM asked, genome""", "v_reference"))
+FROM asked JOIN genome USING (rname)""", "v_reference"))
 def get_stretch(spark, sf):
     from strandlake.plans.views import table
 
-    asked = table(spark, sf, "orders").select(F.lit("A").alias("rname"), (F.col("o_custkey") * 5 - 40).alias("offset"), (20 + F.col("o_orderkey") % 60).alias("size")).distinct()
+    asked = table(spark, sf, "orders").select(F.expr("substr('ANR', cast(o_orderkey % 3 + 1 as int), 1)").alias("rname"), (F.col("o_custkey") * 5 - 40).alias("offset"), (20 + F.col("o_orderkey") % 60).alias("size")).distinct()
     return iv.stretches(asked, view(spark, sf, "v_reference"), 32).select("rname", "offset", "size", "seq")
 
 
@@ -189,3 +189,21 @@ def positional_rate(spark, sf):
     letters = F.split("seq", "")
     hits = F.filter(F.transform(letters, lambda c, i: F.when(c == "G", i)), lambda x: x.isNotNull())
     return positional_rates(view(spark, sf, "v_reads"), hits, F.length("seq")).withColumn("rate", F.round("rate", 8))
+
+
+@query("suffix_match", sql("""
+WITH q AS (SELECT qname, concat('AC', substr(seq, CAST(5 + qname % 3 AS INT), 12)) AS query, concat(substr(seq, 20, 13), seq, reverse(seq)) AS win FROM v_reads),
+places AS (SELECT qname, query, win, p FROM (SELECT *, unnest(generate_series(length(query) - 8, length(win) - 8)) AS p FROM q) WHERE substr(win, CAST(p + 1 AS INT), 8) = right(query, 8)),
+fine AS (SELECT qname FROM places GROUP BY qname, query HAVING count(*) <= 5 AND min(p) > length(query) - 8),
+sizes AS (SELECT qname, p + 8 - k AS "offset", k FROM (SELECT *, unnest(generate_series(8, least(length(query), p + 8))) AS k FROM places) WHERE substr(win, CAST(p + 9 - k AS INT), CAST(k AS INT)) = right(query, CAST(k AS INT))),
+best AS (SELECT qname, max(k) AS size FROM sizes GROUP BY qname)
+SELECT qname, CAST(min("offset") AS INT) AS "offset", CAST(size AS INT) AS size FROM best JOIN sizes USING (qname) JOIN fine USING (qname) WHERE k = size GROUP BY qname, size""", "v_reads"))
+def suffix_match(spark, sf):
+    from strandlake.operators.introns import suffix_match as matched
+
+    reads = view(spark, sf, "v_reads").select(
+        "qname", F.concat(F.lit("AC"), F.substring("seq", (5 + F.col("qname") % 3).cast("int"), F.lit(12))).alias("query"),
+        F.concat(F.substring("seq", 20, 13), "seq", F.reverse("seq")).alias("win"),
+    )
+    found = reads.select("qname", matched(F.col("query"), F.col("win"), 8).alias("m")).where("m is not null")
+    return found.select("qname", F.col("m.offset").alias("offset"), F.col("m.size").alias("size"))

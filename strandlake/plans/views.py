@@ -81,10 +81,26 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                l_partkey * 40 + 20 + l_suppkey % 50 as end_pos
         from lineitem"""),
     "v_reference": (("part",), f"""
-        select 'A' as rname, cast(p_partkey as bigint) as chunk, {_DNA.format('p_partkey')} as bases from part"""),
-    "v_genome": (("part",), f"""
         select rname, cast(p_partkey as bigint) as chunk, translate(md5(concat(rname, cast(p_partkey as string))), '{_HEX}', '{_BASES}') as bases
         from (select 'A' as rname, p_partkey from part union all select 'N', p_partkey from part union all select 'R', p_partkey from part)"""),
+    "v_cojunctions": (("lineitem",), """
+        select l_orderkey as read, l_returnflag as rname_strand, l_partkey % 40 * 5 + 1 as s1, l_partkey % 40 * 5 + 4 + l_suppkey % 10 as e1,
+               case when l_linenumber % 3 = 0 then l_partkey % 40 * 5 + 8 + l_suppkey % 10 + l_suppkey % 7 end as s2,
+               case when l_linenumber % 3 = 0 then l_partkey % 40 * 5 + 14 + l_suppkey % 10 + l_suppkey % 7 end as e2
+        from lineitem"""),
+    "v_hits": (("lineitem",), """
+        select distinct l_orderkey as read_id, case when l_suppkey % 5 = 0 then 'R' else 'A' end as rname, l_partkey % 7 = 0 as reverse,
+               l_partkey % 50 * 4 + 1 as pos, l_partkey % 50 * 4 + 21 as end_pos, cast(l_linenumber % 4 * 5 as int) as disp, cast(l_linenumber % 4 as int) as piece
+        from lineitem"""),
+    "v_split_reads": (("orders",), """
+        select o_orderkey as read_id, cast(o_orderkey % 5 as int) as sample, substr('ANR', cast(o_custkey % 3 + 1 as int), 1) as rname, o_orderkey % 3 = 0 as reverse,
+               o_custkey * 40 + 101 as p, 30 + o_orderkey % 5 as lead, 40 + o_orderkey % 61 as intron, o_orderkey % 4 = 0 as headless, o_orderkey % 7 = 0 as tailless
+        from orders"""),
+    "v_lifted": (("lineitem",), """
+        select l_orderkey as read_id, l_linenumber as alt, l_partkey as start, cast(l_quantity as bigint) as exon1, 15 + l_suppkey % 9 as exon2, 60 + l_linenumber as intron1,
+               100 + l_suppkey % 50 as intron2, l_suppkey % 25 as shift,
+               case l_linenumber % 4 when 0 then '36M' when 1 then '10M2I24M' when 2 then '5S12M3D16M' else '8M4I9M2D7M6S' end as cigar
+        from lineitem"""),
 }
 
 

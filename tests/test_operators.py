@@ -1,16 +1,21 @@
-"""Operators on the worked cases of the fixtures, and invariants between them."""
+"""Operators against slow ways of finding the same, on random and planted cases, and invariants between them."""
 
+import hashlib
+import itertools
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from strandlake.operators import alignments as al
+from strandlake.operators import chains as ch
 from strandlake.operators import coverage as cv
 from strandlake.operators import dataflow as dfl
-from strandlake.operators import graph as gr
 from strandlake.operators import intervals as iv
+from strandlake.operators import introns as ir
 from strandlake.operators import junctions as jn
 from strandlake.operators import metrics as mt
+from strandlake.operators import paths as pt
 
 OBS = "rname_strand string, start long, end_pos long, sample int, count long"
 
@@ -121,100 +126,253 @@ def test_direct_successors(spark):
     df = spark.createDataFrame([("x", *n) for n in nodes], "k string, start long, end_pos long")
     got = {((r["a_start"], r["a_end"]), (r["b_start"], r["b_end"])) for r in iv.direct_successors(df, ["k"], 3, 64).collect()}
     assert got == want
-    assert {(a, b) for a, bs in gr.successors(nodes, 3).items() for b in bs} == want
 
 
-def test_configurations():
-    runs = lambda introns, **kw: {r[0] for r in gr.configurations(introns, **kw)}
-    case = [(10, 50), (30, 70), (75, 101), (90, 1300), (91, 101)]
-    assert runs(case, size=21, edge_span=1, min_edge_span_size=1) == {((10, 50),), ((30, 70), (75, 101)), ((30, 70),), ((75, 101),), ((90, 1300),), ((91, 101),)}
-    case = [(11, 200), (31, 56), (75, 201), (91, 101), (205, 225)]
-    assert runs(case, size=21) == {((11, 200), (205, 225)), ((31, 56), (75, 201)), ((31, 56),), ((75, 201), (205, 225)), ((91, 101),), ((205, 225),)}
-
-
-def test_combined_runs():
-    a, b = ((2, 5), (10, 100), (110, 150)), ((160, 170), (190, 200))
-    assert gr.exonic_length(a) == 15 and gr.exonic_length(((2, 5),)) == 0
-    assert a + b in gr.combine_runs([a, b], 50) and a + b in gr.combine_runs([a, b], 47)
-    for span in (20, 46):
-        got = gr.combine_runs([a, b], span)
-        assert a in got and b in got and a + b not in got
-    several = [a, ((10, 110), (123, 221)), ((110, 150), (180, 210)), ((220, 240),)]
-    assert gr.combine_runs(several, 75) == {
-        a, a[1:], a[1:2], a[:2], ((110, 150), (180, 210), (220, 240)), ((110, 150), (180, 210)), ((180, 210), (220, 240)), ((180, 210),),
-        ((10, 110), (123, 221)), ((10, 110),), ((123, 221),),
-    }
-    assert len(gr.combine_runs(several, 200)) == 11 and (*a, (220, 240)) in gr.combine_runs(several, 200)
-    assert len(gr.fewest([a, ((2, 5), (10, 30)), ((2, 5), (10, 50))], 2, "r")) == 2
-
-
-def test_suffix_match():
-    assert gr.suffix_match("ATAGCATTA", "CAGTCAGACCCATACCAATAGCATTA") == (17, 9)
-    long = "CATACGATACGTCAGACCATGCAGGACCTTTACCTACATACTG"
-    assert gr.suffix_match("CGATACGTCAGACCATG", "ATGG" + long) == (8, 17)
-    assert gr.suffix_match("CGATACGTCAGACCATG", "ATGGCATAATACGTCAGACCATGCAGGACCTTTACCTACATACTG") == (8, 15)
-    assert gr.suffix_match("ATAGCATTA", "CAGTCAGACCCATACCAATAGCATTAATAGCATTA", most=1) is None
-
-
-REFERENCE = (
-    "ATGGCATACGATACGTCAGACCATGCAggACctTTacCTACATACTGGTTACATAGTACATATAGGCATACTAGGTgcCATACGgaCTACGTAG"
-    "ATCCAGATTACGATACAAaTACGAAcTCccATAGCAaCATaCTAGacCAttAaaGACTAGACTAACAGACAaAACTAGCATacGATCATGACaA"
-    "ACGAGATCCATATAtTTAGCAaGACTAaACGATACGATACAGTACaAATACAGaaATCAGaGCAGAAaATACAGATCAaAGCTAGCAaAAtAtA"
-).upper()
-
-
-def stretch(_, offset, size):
-    return REFERENCE[offset : offset + size]
-
-
-def test_split_intron():
-    read = "AGGACCTTTACCTACATACTGGCATACTAGATCCAGATTACGATAC"
-    hits = [("chr1", False, 27, 48, 0), ("chr1", False, 95, 111, 30)]
-    found = gr.infer_junctions(hits, read, stretch, lambda r: 282, min_exon=8, min_intron=5, radius=0, max_edits=5)
-    assert found == [("chr1", False, 48, 66), ("chr1", False, 75, 95)]
-
-
-def test_chains():
+def bases(rng, n):
+    return "".join(rng.choices("ACGT", k=n))
+
+
+def cut_up(genome, size, name="a"):
+    return [(name, i, genome[i * size : i * size + size]) for i in range(-(-len(genome) // size))]
+
+
+def test_configurations(spark):
+    """Runs on random introns against a walk over edges made by their definition."""
+    rng = random.Random(9)
+    for size, overlap, span, least in ((30, 1, 2, 12), (21, 1, 1, 1), (40, 5, 2, 25), (60, 3, 3, 30)):
+        nodes = {(s := rng.randint(1, 300), s + rng.randint(3, 40)) for _ in range(25)}
+        edges = {a: [b for b in nodes if b[0] >= a[1] + overlap and not any(c[0] >= a[1] + overlap and b[0] >= c[1] + overlap for c in nodes)] for a in nodes}
+        want = set()
+
+        def walk(run, gaps, left, left_avail):
+            last = run[-1]
+            for b in edges[last] or [None]:
+                gap = b[0] - last[1] if b else None
+                if gap is None or sum(gaps) + gap >= size - 1:
+                    want.add((tuple(s for s, _ in run), tuple(e for _, e in run), left, size - 1 if gap is None else min(size - 1, gap), left_avail, gap))
+                elif len(gaps) + 1 < span or sum([*gaps, gap][-span:]) >= least:
+                    walk([*run, b], [*gaps, gap], left, left_avail)
+
+        for a in nodes:
+            before = [a[0] - p[1] for p in nodes if a in edges[p]]
+            avail = max(before) if before else None
+            walk([a], [], min(size - 1, avail if before else a[0] - max(a[0] - size + 1, 1)), avail)
+        frame = spark.createDataFrame([("k", *n) for n in nodes], "k string, start long, end_pos long")
+        rows = pt.intron_configurations(frame, ["k"], size, overlap, span, least).collect()
+        got = [(tuple(r["starts"]), tuple(r["ends"]), r["left_ext"], r["right_ext"], r["left_avail"], r["right_avail"]) for r in rows]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_combined_runs(spark):
+    """Random cojunctions of reads against paths found one by one."""
+    rng = random.Random(4)
+    rows, want = [], {}
+    for read in range(25):
+        runs = set()
+        for _ in range(rng.randint(1, 7)):
+            at, run = rng.randint(1, 120), []
+            for _ in range(rng.randint(1, 3)):
+                run.append((at, at + rng.randint(2, 20)))
+                at = run[-1][1] + rng.randint(1, 9)
+            runs.add(tuple(run))
+        span = 45
+        inside = lambda r: sum(b[0] - a[1] for a, b in zip(r, r[1:]))
+        after = {a: [b for b in runs if b[0][0] > a[-1][1] and b[0][0] - a[-1][1] + inside(a) + inside(b) + 2 <= span] for a in runs}
+        entered = {b for bs in after.values() for b in bs}
+        found = [list(r) for r in runs if bool(after[r]) == (r in entered)]
+
+        def walk(path, last):
+            if not after[last]:
+                found.append(path)
+            for b in after[last]:
+                walk(path + list(b), b)
+
+        for a in runs:
+            if after[a] and a not in entered:
+                walk(list(a), a)
+        parts = {tuple(p) for f in found for p in ((f, f[1:], f[:-1], f[1:-1]) if len(runs) > 1 else (f,)) if p}
+        want[f"r{read}"] = parts
+        rows += [(f"r{read}", "c+", [s for s, _ in r], [e for _, e in r]) for r in runs]
+    frame = spark.createDataFrame(rows + rows[:5], "read string, rname_strand string, starts array<long>, ends array<long>")
+    got = {}
+    for r in pt.combined_runs(frame, 45, None).collect():
+        got.setdefault(r["read"], []).append(tuple(zip(r["starts"], r["ends"])))
+    assert {k: set(v) for k, v in got.items()} == want and all(len(v) == len(set(v)) for v in got.values())
+    few = {}
+    for r in pt.combined_runs(frame, 45, 4).collect():
+        few.setdefault(r["read"], []).append(tuple(zip(r["starts"], r["ends"])))
+    for read, runs in few.items():
+        assert sorted(map(len, runs)) == sorted(map(len, want[read]))[:4] and set(runs) <= want[read]
+
+
+def test_suffix_match(spark):
+    rng = random.Random(6)
+    pairs = []
+    for _ in range(150):
+        query = bases(rng, rng.randint(4, 14))
+        window = bases(rng, rng.randint(0, 25))
+        for _ in range(rng.randint(0, 3)):
+            window += query[rng.randint(0, len(query) - 4) :] + bases(rng, rng.randint(0, 8))
+        pairs.append((query, window))
+
+    def slow(q, w):
+        places = [p for p in range(len(q) - 4, len(w) - 3) if w[p : p + 4] == q[-4:]]
+        if not places or len(places) > 3 or places[0] == len(q) - 4:
+            return None
+        best = None
+        for p in places:
+            k = max(k for k in range(4, min(len(q), p + 4) + 1) if w[p + 4 - k : p + 4] == q[-k:])
+            best = min(best or (0, 0), (-k, p + 4 - k))
+        return best[1], -best[0]
+
+    frame = spark.createDataFrame(pairs, "q string, w string").select("q", "w", ir.suffix_match(F.col("q"), F.col("w"), 4, 3).alias("m"))
+    rows = frame.collect()
+    assert [tuple(r["m"]) if r["m"] else None for r in rows] == [slow(q, w) for q, w in pairs] and any(r["m"] for r in rows)
+
+
+HITS = "read_id long, sample int, read_seq string, piece int, rname string, reverse boolean, pos long, end_pos long, disp int"
+
+
+def searched(spark, genome, rows, **options):
+    chunks = spark.createDataFrame(cut_up(genome, 16), "rname string, chunk long, bases string")
+    contigs = spark.createDataFrame([("a", len(genome))], "rname string, length long")
+    found = ir.search_junctions(spark.createDataFrame(rows, HITS), chunks, 16, contigs, **options)
+    return sorted((r["sample"], r["rname_strand"], r["start"], r["end_pos"], r["count"]) for r in found.collect())
+
+
+def test_planted_introns(spark):
+    """Reads over planted introns: plain, read in reverse, with a small exon between two introns, and with a lost first piece."""
+    rng = random.Random(31)
+    flip = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    quiet = lambda n: "".join(rng.choices("CT", k=n))  # holds no motif
+    one, two = bases(rng, 60), bases(rng, 60)
+    mid = bases(rng, 12)
+    # exons and introns laid out from 1: one, GT..AG, two; then again with a small exon in the middle
+    first = quiet(40) + one + "GT" + quiet(100) + "AG" + two + quiet(50)
+    second = one[::-1] + "GC" + quiet(70) + "AG" + mid + "GT" + quiet(80) + "AG" + two[::-1] + quiet(30)
+    genome = first + second
+    s, e = 41 + 60, 41 + 60 + 104
+    read = one[-30:] + two[:30]
+    hits = [(s - 30, s - 5, 0), (e + 4, e + 30, 34)]
+    rows = [(1, 0, read, i, "a", False, p, q, d) for i, (p, q, d) in enumerate(hits)]
+    rows += [(2, 1, flip(read), i, "a", True, p, q, d) for i, (p, q, d) in enumerate(hits)]
+    base = len(first)
+    s1, e1 = base + 61, base + 61 + 74
+    s2, e2 = e1 + 12, e1 + 12 + 84
+    joined = one[::-1][-25:] + mid + two[::-1][:25]
+    rows += [(3, 2, joined, 0, "a", False, s1 - 25, s1 - 2, 0), (3, 2, joined, 1, "a", False, e2 + 1, e2 + 25, 38)]
+    rows += [(4, 3, read, 1, "a", False, e + 4, e + 30, 34)]  # the first half must be found upstream
+    assert searched(spark, genome, rows, max_edits=0) == sorted([(0, "a+", s, e, 1), (1, "a+", s, e, 1), (2, "a+", s1, e1, 1), (2, "a+", s2, e2, 1), (3, "a+", s, e, 1)])
+    wrong = [(5, 4, read[:20] + ("A" if read[20] != "A" else "C") + read[21:], i, "a", False, p, q, d) for i, (p, q, d) in enumerate(hits)]
+    assert searched(spark, genome, wrong, max_edits=0) == [] and searched(spark, genome, wrong, max_edits=2) == [(4, "a+", s, e, 1)]
+    assert searched(spark, genome, rows[:2], min_intron=200) == [] and searched(spark, genome, rows[:0]) == []
+
+
+def test_chains(spark):
+    """Longest chains against all subsets, and clusters against pivots taken one after another."""
     rng = random.Random(8)
-    for _ in range(60):
-        hits = list({("c", False, p := rng.randint(1, 6), p + 5, rng.randint(0, 5)) for _ in range(rng.randint(1, 7))})
-        best = 0
-        for mask in range(1 << len(hits)):
-            some = [h for i, h in enumerate(hits) if mask >> i & 1]
-            if all(gr.consistent(a, b) for i, a in enumerate(some) for b in some[:i]):
-                best = max(best, len(some))
-        size, chain, _ = gr.longest_chains(hits)
-        assert size == best == len(chain)
-    assert gr.select_hits([[("c", False, 5, 30, 0), ("c", False, 500, 525, 0)]], "r") == []
-    together = [[("c", False, 5, 30, 0)], [("c", False, 12, 37, 7)], [("d", False, 3, 9, 1)]]
-    assert gr.select_hits(together, "r") == [("c", False, 5, 30, 0), ("c", False, 12, 37, 7)]
-
-
-def test_lift_over():
-    assert gr.lift_over(100, [10, 20, 10], [50, 70], 5, [(20, "M")]) == (105, "5M50N15M")
-    assert gr.lift_over(100, [10, 20, 10], [50, 70], 5, [(5, "M"), (2, "D"), (25, "M")]) == (105, "5M50N2D18M70N7M")
-    assert gr.lift_over(100, [10, 20], [50], 12, [(6, "M")]) is None
-    assert gr.lift_over(100, [10, 20], [50], 0, [(3, "S"), (10, "M")]) is None
-    assert gr.lift_over(100, [4, 20], [50], 0, [(2, "S"), (8, "M"), (1, "I"), (2, "M")]) == (100, "2S4M50N4M1I2M")
+    rows = []
+    for read in range(40):
+        places = [rng.randint(1, 6) for _ in range(rng.randint(1, 7))]
+        rows += [(read, *h) for h in sorted({("c" if rng.random() < 0.9 else "d", rng.random() < 0.1, p, p + 5, rng.randint(0, 5), rng.randint(0, 3)) for p in places})]
+    frame = spark.createDataFrame(rows, "read_id long, rname string, reverse boolean, pos long, end_pos long, disp int, piece int")
+
+    def fit(a, b):
+        if a[:2] != b[:2] or (a[4] == b[4]) != (a[2] == b[2]):
+            return False
+        return a[4] == b[4] or (a[4] < b[4]) == (a[2] < b[2])
+
+    def largest(hits):
+        sets = [[h for i, h in enumerate(hits) if mask >> i & 1] for mask in range(1, 1 << len(hits))]
+        sets = [x for x in sets if all(fit(a, b) for i, a in enumerate(x) for b in x[:i])]
+        most = max(map(len, sets))
+        return most, [x for x in sets if len(x) == most]
+
+    size = {r["read_id"]: (r["size"], r["ways"]) for r in ch.longest_chains(frame, ["read_id"]).collect()}
+    clusters, chosen = {}, {}
+    for r in ch.pivot_clusters(frame, ["read_id"]).collect():
+        clusters.setdefault(r["read_id"], {}).setdefault(r["cluster"], set()).add(tuple(r[c] for c in ch.HIT))
+    for r in ch.selected_hits(frame, ["read_id"]).collect():
+        chosen.setdefault(r["read_id"], set()).add(tuple(r[c] for c in ch.HIT))
+    for read in range(40):
+        hits = sorted(r[1:] for r in rows if r[0] == read)
+        assert size[read] == (largest(hits)[0], len(largest(hits)[1]))
+        rank = {h: hashlib.md5(":".join([str(read), h[0], str(h[1]).lower(), *map(str, h[2:])]).encode()).hexdigest() for h in hits}
+        left, want = list(hits), []
+        while left:
+            pivot = min(left, key=rank.get)
+            near = {pivot}
+            for h in left:
+                between = {x[5] for x in hits[min(hits.index(pivot), hits.index(h)) + 1 : max(hits.index(pivot), hits.index(h))]}
+                if h != pivot and h[5] != pivot[5] and fit(h, pivot) and not between & {h[5], pivot[5]}:
+                    near.add(h)
+            want.append(near)
+            left = [h for h in left if h not in near]
+        assert sorted(map(sorted, clusters[read].values())) == sorted(map(sorted, want))
+        best = [largest(sorted(c)) for c in want]
+        tops = [x for most, sets in best if most == max(b[0] for b in best) for x in sets]
+        assert chosen.get(read, set()) == (set(tops[0]) if len(tops) == 1 else set())
+
+
+def test_lift_over(spark):
+    """Random alignments to fragments: every base keeps its place, worked out base by base."""
+    rng = random.Random(15)
+    rows = []
+    for i in range(80):
+        exons = [rng.randint(3, 20) for _ in range(rng.randint(1, 4))]
+        introns = [rng.randint(10, 90) for _ in exons[1:]]
+        offset, room = (o := rng.randint(0, sum(exons) - 2)), sum(exons) - o
+        ops = [(rng.randint(1, 4), "S")] if rng.random() < 0.3 else []
+        while room > 0:
+            n = min(room, rng.randint(1, 9))
+            kind = rng.choice("MMMD") if ops and ops[-1][1] == "M" else "M"
+            ops.append((n, kind)) if not ops or ops[-1][1] != kind else ops.__setitem__(-1, (ops[-1][0] + n, kind))
+            room -= n
+            if rng.random() < 0.3:
+                break
+            if rng.random() < 0.2:
+                ops.append((rng.randint(1, 3), "I"))
+        rows.append((i, 100 + i, exons, introns, offset, "".join(f"{n}{o}" for n, o in ops)))
+
+    def slow(start, exons, introns, offset, cigar):
+        place, at = [], start
+        for k, n in enumerate(exons):
+            place += range(at, at + n)
+            at += n + (introns[k] if k < len(introns) else 0)
+        out, here, last, crossed = [], offset, None, False
+        for n, op in re.findall(r"(\d+)([A-Z])", cigar):
+            for _ in range(int(n)):
+                if op in "MD":
+                    if last is not None and place[here] != last + 1:
+                        out += ["N"] * (place[here] - last - 1)
+                        crossed = True
+                    last, here = place[here], here + 1
+                out.append(op)
+        return (place[offset], "".join(f"{len(list(g))}{k}" for k, g in itertools.groupby(out))) if crossed else (None, None)
+
+    frame = spark.createDataFrame(rows, "i long, start long, exons array<long>, introns array<long>, offset long, cigar string")
+    got = {r["i"]: (r["genome_pos"], r["genome_cigar"]) for r in ir.lift_over(frame, "start", "exons", "introns", "offset", "cigar").collect()}
+    assert got == {i: slow(*rest) for i, *rest in rows} and any(p for p, _ in got.values())
 
 
 def test_stretches(spark):
-    chunks = spark.createDataFrame([("a", i, REFERENCE[i * 10 : i * 10 + 10]) for i in range(9)], "rname string, chunk long, bases string")
-    genome = REFERENCE[:90]
-    asked = [("a", o, n) for o in (-15, -3, 0, 7, 85, 89, 95) for n in (0, 1, 6, 30)]
+    genome = bases(random.Random(1), 87)
+    chunks = spark.createDataFrame(cut_up(genome, 10), "rname string, chunk long, bases string")
+    asked = [("a", o, n) for o in (-15, -3, 0, 7, 82, 86, 95) for n in (0, 1, 6, 30)]
     got = iv.stretches(spark.createDataFrame(asked, "rname string, offset long, size long"), chunks, 10).collect()
     for r in got:
-        want = "".join(genome[i] if 0 <= i < 90 else "N" for i in range(r["offset"], r["offset"] + r["size"]))
+        want = "".join(genome[i] if 0 <= i < len(genome) else "N" for i in range(r["offset"], r["offset"] + r["size"]))
         assert r["seq"] == want, (r["offset"], r["size"])
     assert len(got) == len(asked)
 
 
 def test_fragments(spark):
-    chunks = spark.createDataFrame([("a", i, REFERENCE[i * 10 : i * 10 + 10]) for i in range(28)], "rname string, chunk long, bases string")
+    genome = bases(random.Random(2), 280)
+    chunks = spark.createDataFrame(cut_up(genome, 10), "rname string, chunk long, bases string")
     configs = spark.createDataFrame([("a", "+", [31, 81], [51, 101], 12, 9)], "rname string, strand string, starts array<long>, ends array<long>, left_ext long, right_ext long")
     row = iv.fragments(configs, chunks, 10).first()
     assert row["start"] == 19 and row["exon_sizes"] == [12, 30, 9] and row["intron_sizes"] == [20, 20]
-    assert row["sequence"] == REFERENCE[18:30] + REFERENCE[50:80] + REFERENCE[100:109]
+    assert row["sequence"] == genome[18:30] + genome[50:80] + genome[100:109]
 
 
 def test_overlaps(spark):
@@ -234,12 +392,23 @@ def test_precision_recall(spark):
     assert got == {0: (1, 0.5, 0.5), 1: (0, 0.0, 1.0)}
 
 
-def test_junction_search(spark):
-    """The split intron again, through stretches of the reference and with a hit elsewhere that doesn't fit."""
-    read = "AGGACCTTTACCTACATACTGGCATACTAGATCCAGATTACGATAC"
-    chunks = spark.createDataFrame([("chr1", i, REFERENCE[i * 20 : i * 20 + 20]) for i in range(15)], "rname string, chunk long, bases string")
-    contigs = spark.createDataFrame([("chr1", 282)], "rname string, length long")
-    rows = [(7, 2, read, 0, "chr1", False, 27, 48, 0), (7, 2, read, 1, "chr1", False, 95, 111, 30), (7, 2, read, 1, "chr1", True, 200, 216, 30)]
-    hits = spark.createDataFrame(rows, "read_id long, sample int, read_seq string, piece int, rname string, reverse boolean, pos long, end_pos long, disp int")
-    found = gr.search_junctions(hits, chunks, 20, contigs, min_exon=8, min_intron=5, radius=0, max_edits=5).collect()
-    assert sorted(map(tuple, found)) == [("chr1+", 48, 66, 2, 1), ("chr1+", 75, 95, 2, 1)]
+def test_regions(spark):
+    """Regions and clusters of runs over many bins against one walk."""
+    rng = random.Random(3)
+    at, runs = 0, []
+    for _ in range(200):
+        at += rng.choice([0, 0, 0, 5, 40, 200])
+        size = rng.randint(1, 30)
+        runs.append(("c", at, at + size, rng.randint(0, 6)))
+        at += size
+    want, cluster, last = [], 0, None
+    for _, s, e, v in (r for r in runs if r[3] >= 3):
+        if want and want[-1][1] == s:
+            want[-1][1:3] = [e, want[-1][2] + v * (e - s)]
+        else:
+            cluster += last is None or s - last > 50
+            want.append([s, e, v * (e - s), cluster])
+        last = e
+    for size in (16, 100, 10**6):
+        got = cv.expressed_regions(spark.createDataFrame(runs, "rname string, start long, end_pos long, value long"), 3, 50, bin_size=size).collect()
+        assert sorted((r["start"], r["end_pos"], round(r["mean"], 6), r["cluster"]) for r in got) == [(s, e, round(v / (e - s), 6), c) for s, e, v, c in want]

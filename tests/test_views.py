@@ -20,5 +20,5 @@ def test_introns_of_every_line(spark):
 
 def test_every_contig_has_fragments(spark):
     flags = {r[0] for r in table(spark, SF, "lineitem").select("l_returnflag").distinct().collect()}
-    assert {r[0] for r in view(spark, SF, "v_genome").select("rname").distinct().collect()} == flags
+    assert {r[0] for r in view(spark, SF, "v_reference").select("rname").distinct().collect()} == flags
     assert {r[0] for r in QUERIES["fragment_sequences"](spark, SF).select("rname").distinct().collect()} == flags
