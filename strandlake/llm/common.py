@@ -5,9 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import os
 import re
-import tempfile
 import unicodedata
 import uuid
 from collections.abc import Sequence
@@ -19,6 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandlake.session import removed as drop_scratch
+from strandlake.session import scratch_root
+from strandlake.session import written as materialize
+
+__all__ = ["drop_scratch", "materialize", "scratch_root"]
+
 #: Words kept by a worker's hash cache before it starts over, and the longest of them; bounds its memory to about 35 MB.
 CACHE_WORDS = 200_000
 CACHE_BYTES = 64
@@ -35,39 +39,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """Folder shared by driver and executors: ``spark.checkpoint.dir``, or a local one where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + os.path.join(tempfile.gettempdir(), "strandlake-scratch")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+def free_name(columns: Sequence[str], wanted: str) -> str:
+    """``wanted``, behind as many ``_`` as it takes to be no column's name (names differ in case for no reason)."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/strandlake-{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
-
-    Cuts the lineage in a way that survives lost executors, and fixes the rows and
-    splits that later passes see.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_scratch(df: DataFrame) -> None:
-    """Delete the files behind a DataFrame returned by ``materialize``."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/strandlake-" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 #: Signs of Latin-1, general punctuation, and that of East Asian scripts.
@@ -147,8 +128,8 @@ def crc_of_id(col):
     return F.crc32(col.cast("string").cast("binary"))
 
 
-def bounded_ids(labelled: DataFrame, id_col: str, label_col: str, per_label: int, most_labels: int = 1_000) -> DataFrame:
-    """At most ``per_label`` ids of each label, those with the lowest hash of the id; all columns are kept.
+def bounded_ids(labelled: DataFrame, id_col: str, label_col: str, per_label: int, most_labels: int = 1_000, most_rows: int | None = None) -> DataFrame:
+    """At most ``per_label`` ids of each label, and about ``most_rows`` in all, those with the lowest hash of the id; all columns are kept.
 
     The labels are counted first, more than ``most_labels`` are an error, and only ids with a
     hash low enough for a little more than ``per_label`` of their label are ranked.
@@ -158,6 +139,8 @@ def bounded_ids(labelled: DataFrame, id_col: str, label_col: str, per_label: int
     counts = labelled.groupBy(label_col).agg(F.count("*").alias("n")).limit(most_labels + 1).collect()
     if len(counts) > most_labels:
         raise ValueError(f"more than {most_labels} labels")
+    if most_rows:
+        per_label = max(1, min(per_label, most_rows // max(1, len(counts))))
     wanted = per_label + 6 * per_label**0.5 + 50
     shares = spark.createDataFrame([(r[0], min(1.0, wanted / r["n"])) for r in counts], T.StructType([labelled.schema[label_col], T.StructField("_share", T.DoubleType())]))
     near = labelled.join(F.broadcast(shares), label_col)  # a row per label

@@ -12,8 +12,19 @@ from strandlake.llm.secret_scan import op6_secrets
 from strandlake.llm.toxicity import op7_toxicity
 from strandlake.llm.url_rules import OP10_SQL, op10_url_filters
 from strandlake.llm.warc import OP1_SQL, op1_warc
+from strandlake.session import smaller_batches
 
-QUERIES = {
+
+def _set_up(query):
+    """The query as an application that bounds the bytes a Python worker gets at once."""
+    def run(spark, sf_dir):
+        smaller_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES = {
     "op1_warc": op1_warc,
     "op2_ngram_join": op2_ngram_join,
     "op3_langid": op3_langid,
@@ -25,4 +36,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_url_filters": op10_url_filters,
 }
+QUERIES = {name: _set_up(query) for name, query in _QUERIES.items()}
 ORACLE_SQL = {"op1_warc": OP1_SQL, "op10_url_filters": OP10_SQL}
