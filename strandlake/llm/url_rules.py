@@ -55,11 +55,10 @@ def reversed_host(host: Column) -> Column:
     return F.array_join(F.reverse(F.split(host, r"\.")), ".")
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and every parent domain of it."""
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
+def host_suffixes(host: Column, most: int) -> Column:
+    """The host's last 1 to ``most`` labels, as far as it has so many: itself or parent domains."""
+    n = F.size(F.split(host, r"\."))
+    return F.transform(F.sequence(F.lit(1), F.least(n, F.lit(most))), lambda k: F.call_function("substring_index", host, F.lit("."), -k))
 
 
 def sweep(points: DataFrame, rules: DataFrame, lanes: int) -> DataFrame:
@@ -126,7 +125,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", lanes
     equal rules with different actions ``block`` holds. Without a fitting rule the rule is
     null and the verdict is ``default``. A null URL or one without ``://`` has empty host and
     path and fits no rule with a host. Repeated rows are kept; empty tables give no rows.
-    Rules with a null in any column are ignored.
+    Rules with a null in any column are ignored. Of a long host only as many labels are looked
+    up as the longest rule has.
     """
     pages = pages.select("page_id", "url")
     rules = (
@@ -137,9 +137,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", lanes
     if lanes is None:
         lanes = max(4, -(-pages.count() // URLS_PER_LANE))
     hosts = rules.select(F.col("host").alias("suffix")).distinct()
+    most = hosts.agg(F.max(F.size(F.split("suffix", r"\.")))).first()[0] or 1  # no longer suffix can be a rule's host
     points = (
         pages.select("url").where(F.instr("url", "://") > 0).distinct()
-        .select("url", url_path(F.col("url")).alias("path"), F.explode(host_suffixes(url_host(F.col("url")))).alias("suffix"))
+        .select("url", url_path(F.col("url")).alias("path"), F.explode(host_suffixes(url_host(F.col("url")), most)).alias("suffix"))
         .join(hosts, "suffix", "left_semi")
         .select("url", "path", reversed_host(F.col("suffix")).alias("host_key"))
     )

@@ -37,6 +37,18 @@ def test_same_as_brute_force(spark):
             assert (r["host"], r["path"], r["rule"], r["verdict"]) == judge(urls[r["page_id"]], RULES), urls[r["page_id"]]
 
 
+def test_long_hosts(spark):
+    """Hosts of thousands of labels, with and without a rule for their end."""
+    import time
+
+    urls = ["http://" + ".".join(f"l{i}" for i in range(n)) + end + "/es/x" for n in (2_000, 20_000) for end in (".example.org", ".nowhere")] + ["http://" + "x" * 1_000_000 + ".org/" + "p" * 1_000_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    began = time.perf_counter()
+    for r in ur.judge_urls(pages, ur.rules_frame(spark)).collect():
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == judge(urls[r["page_id"]], list(ur.RULES))
+    assert time.perf_counter() - began < 30
+
+
 def test_no_rows_and_no_rules(spark):
     pages = spark.createDataFrame([(1, "http://org/"), (1, "http://org/")], "page_id long, url string")
     none = ur.rules_frame(spark).limit(0)
