@@ -2,8 +2,10 @@
 
 A text is brought to its words with one blank between and around them, so a phrase of words
 is a plain substring that begins and ends at blanks, and one automaton finds all notice
-phrases and the words that open an identifier tag. The expression behind a tag is read from
-the original text and evaluated by a shunting-yard parser for AND, OR, WITH and brackets.
+phrases and the words that open an identifier tag. The words' places tell where in the
+original text a tag's expression begins; a shunting-yard parser reads it as far as it goes and
+evaluates AND, OR, WITH and brackets: the terms are permissive if a choice of the OR branches
+holds permissive licences only.
 """
 
 from __future__ import annotations
@@ -35,10 +37,15 @@ NOTICES = {
     "this is free and unencumbered software": "notice-unlicense",
 }
 TAG_WORDS = "spdx license identifier"
-TAG = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]*)", re.I)
-TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
-#: Licences taken as permissive when an expression is evaluated.
+# Licences taken as permissive when an expression is evaluated.
 PERMISSIVE = frozenset(("mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "zlib", "unlicense", "cc0-1.0", "0bsd"))
+# Licence names without a digit or hyphen; any other plain word isn't a licence's name.
+PLAIN_NAMES = frozenset((
+    "beerware", "curl", "fair", "intel", "isc", "json", "libpng", "mit", "naumen", "ncsa", "none", "openssl", "postgresql",
+    "ruby", "sleepycat", "unlicense", "vim", "wtfpl", "x11", "xnet", "zed", "zlib",
+))
+TOKEN = re.compile(rb"[ \t]*(\(|\)|[A-Za-z0-9](?:[A-Za-z0-9.+:-]*[A-Za-z0-9+])?)")
+_COLON = re.compile(rb"[ \t]*:")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -46,19 +53,33 @@ class ExpressionError(ValueError):
     """The text isn't a licence expression."""
 
 
-def to_postfix(text: str) -> list[str]:
-    """Shunting-yard: WITH binds closest, then AND, then OR. Reads as far as the expression goes."""
+def _licence(token: str) -> bool:
+    return token in PLAIN_NAMES or "-" in token or any(c.isdigit() for c in token)
+
+
+def _tokens(raw: bytes, at: int) -> Iterator[str]:
+    """Names, operators and brackets in lower case, with nothing but blanks between them."""
+    while m := TOKEN.match(raw, at):
+        yield m[1].decode().lower()
+        at = m.end()
+
+
+def to_postfix(raw: bytes | str, at: int = 0) -> list[str]:
+    """Shunting-yard: WITH binds closest, then AND, then OR.
+
+    Reads from ``at`` as far as the expression goes: prose behind it, a sentence's full stop or
+    comma, or the end of the line end it, and an operator that no licence follows isn't part of it.
+    """
     out, held, operand = [], [], False
     depth = 0
-    for m in TOKEN.finditer(text):
-        token = m[0]
-        low = token.lower()
-        if low in _RANK:
+    raw = raw.encode() if isinstance(raw, str) else raw
+    for token in _tokens(raw, at):
+        if token in _RANK:
             if not operand:
-                raise ExpressionError(text)
-            while held and held[-1] != "(" and _RANK[held[-1]] >= _RANK[low]:
+                break
+            while held and held[-1] != "(" and _RANK[held[-1]] >= _RANK[token]:
                 out.append(held.pop())
-            held.append(low)
+            held.append(token)
             operand = False
         elif token == "(":
             if operand:
@@ -66,21 +87,22 @@ def to_postfix(text: str) -> list[str]:
             held.append(token)
             depth += 1
         elif token == ")":
-            if not depth:
+            if not depth or not operand:
                 break
-            if not operand:
-                raise ExpressionError(text)
             while held[-1] != "(":
                 out.append(held.pop())
             held.pop()
             depth -= 1
+        elif operand or not _licence(token):
+            break
         else:
-            if operand:
-                break  # prose after the expression
-            out.append(low)
+            out.append(token)
             operand = True
+    if not operand and out and held and held[-1] in _RANK:
+        held.pop()  # an operator before prose
+        operand = True
     if not operand or depth:
-        raise ExpressionError(text)
+        raise ExpressionError(raw[at : at + 80])
     while held:
         out.append(held.pop())
     return out
@@ -105,7 +127,7 @@ def evaluate(postfix: list[str], permissive: frozenset[str] = PERMISSIVE) -> tup
 
 def _automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for kind, phrases in (("base", BASE), ("notice", NOTICES), ("tag", {TAG_WORDS: "tag"})):
+    for kind, phrases in (("base", BASE), ("notice", NOTICES), ("tag", {TAG_WORDS: TAG_WORDS})):
         for phrase, label in phrases.items():
             found.add_word(f" {phrase} ", (kind, label, len(phrase) + 2))
     found.make_automaton()
@@ -121,38 +143,64 @@ def scan_text(text: str | None, automaton: ahocorasick.Automaton) -> dict:
         return out  # no phrase can stand here; single words only, as blanks aren't collapsed yet
     joined = (b" " + b" ".join(words) + b" ").decode("utf-8", "replace")
     at = words_before = 0
-    notices = tag = 0
+    notices, tags = 0, []
     for end, (kind, label, size) in automaton.iter(joined):
-        if kind == "base":
-            start = end - size + 1
-            if start >= at:
-                words_before += joined.count(" ", at, start)
-            else:
-                words_before -= joined.count(" ", start, at)
-            at = start
-            out["places"].append(words_before)
-            out["base_labels"].add(label)
-            out["labels"].add(label)
-        elif kind == "notice":
+        if kind == "notice":
             notices += 1
             out["labels"].add(label)
+            continue
+        start = end - size + 1
+        if start >= at:
+            words_before += joined.count(" ", at, start)
+        else:
+            words_before -= joined.count(" ", start, at)
+        at = start
+        if kind == "tag":
+            tags.append(words_before + size_in_words(label) - 1)
         else:
-            tag = 1
-    permissive = 0
-    if tag:
-        for m in TAG.finditer(text):
-            try:
-                free, names = evaluate(to_postfix(m[1]))
-            except ExpressionError:
+            out["places"].append(words_before)
+            out["base_labels"].add(label)
+            out["labels"].add(label)
+    if tags:
+        original = text.encode("utf-8", "replace")
+        last_words = iter(tags)  # the places of the tags' last words, ascending
+        wanted = next(last_words)
+        for i, word in enumerate(_WORD.finditer(raw)):
+            if i != wanted:
                 continue
-            permissive += free
-            out["expressions"].append({"expression": m[1].strip(), "permissive": free})
-            out["labels"].update(f"spdx:{n}" for n in names)
+            found = _read_expression(original, word.end())
+            if found:
+                out["expressions"].append(found)
+                out["labels"].update(f"spdx:{n}" for n in found["names"])
+                out["labels"].add("terms:permissive" if found["permissive"] else "terms:other")
+            wanted = next(last_words, None)
+            if wanted is None:
+                break
     weight = 2.0 * len(out["base_labels"]) + notices + 3.0 * len(out["expressions"])
     out["score"] = weight / (weight + 1.0)
     return out
 
 
+_WORD = re.compile(rb"[^ ]+")
+
+
+def size_in_words(phrase: str) -> int:
+    return len(phrase.split(" "))
+
+
+def _read_expression(raw: bytes, at: int) -> dict | None:
+    """The expression behind a tag that ends at ``at``: in postfix form, evaluated, with the names in it; None if there is none."""
+    colon = _COLON.match(raw, at)
+    if not colon:
+        return None
+    try:
+        postfix = to_postfix(raw, colon.end())
+    except ExpressionError:
+        return None
+    permissive, names = evaluate(postfix)
+    return {"expression": " ".join(postfix), "permissive": permissive, "names": names}
+
+
 SCAN = (
     "doc_id long, n_words long, places array<long>, base_labels array<string>, labels array<string>, "
     "expressions array<struct<expression:string,permissive:boolean>>, score double"
@@ -162,8 +210,13 @@ SCAN = (
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): words, base places, labels, evaluated tag expressions, score.
 
-    A null text is empty: no words, no labels, score 0. A tag whose expression doesn't parse
-    adds no label. Other columns are ignored, every input row gives one row.
+    ``expressions`` holds each tag's expression in postfix form and whether its terms are
+    permissive; labels are those of the phrases, ``spdx:`` with a licence's name for each name in
+    an expression, and ``terms:permissive`` or ``terms:other`` as it evaluates. A null text is
+    empty: no words, no labels, score 0. A tag without an expression adds no label. Other columns
+    are ignored whatever their names; every input row gives one row, repeated ones and those
+    with equal or null ids too; an empty table gives none. A text is held by one worker as a
+    whole, several times over.
     """
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,18 +227,21 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = scan_text(text.as_py(), automaton)
-                rows.append(found | {"doc_id": doc_id, "base_labels": sorted(found["base_labels"]), "labels": sorted(found["labels"])})
+                expressions = [{k: e[k] for k in ("expression", "permissive")} for e in found["expressions"]]
+                rows.append(found | {"doc_id": doc_id, "expressions": expressions, "base_labels": sorted(found["base_labels"]), "labels": sorted(found["labels"])})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCAN)
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """The digest of ``scan_licenses``: counts, first and last base place, labels as text, score."""
+    """The digest of ``scan_licenses``: counts, first and last base place, labels as text, score, and evaluated expressions as text."""
+    value = lambda e: F.concat(e["expression"], F.when(e["permissive"], F.lit("=permissive")).otherwise(F.lit("=other")))
     return scan_licenses(docs).select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min("places").alias("first_word"), F.array_max("places").alias("last_word"),
         F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+        F.array_join(F.transform("expressions", value), ",").alias("expressions"),
     )
 
 

@@ -27,7 +27,7 @@ def test_sql(spark):
 @pytest.mark.parametrize("name, columns", [
     ("op3_langid", {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"}),
     ("op7_toxicity", {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}),
-    ("op8_licenses", {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"}),
+    ("op8_licenses", {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double", "expressions": "string"}),
     ("op4_fingerprints", {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"}),
 ])
 def test_columns_and_rows(spark, name, columns):
