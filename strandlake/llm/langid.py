@@ -23,8 +23,9 @@ from strandlake.session import shipped
 
 UNKNOWN = "und"
 FEATURES = 4096
-#: Labelled documents of each language that are learned from, at most.
+#: Labelled documents that are learned from, at most: of each language, and in all. A document is 16 KB of counts on the driver.
 PER_LANGUAGE = 600
+MOST_ROWS = 12_000
 MAX_LANGUAGES = 400
 #: Code points handled at once.
 PIECE = 1 << 20
@@ -123,13 +124,13 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], rounds: int = 300, r
     share = np.bincount(y[used], minlength=len(languages)).astype(np.float32)
     weight = (1 / np.maximum(share, 1))[y[used]]
     weight /= weight.sum()
-    target = code[y[used]]
+    target, x_used = code[y[used]], x[used]
     w, b = np.zeros((FEATURES, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(rounds):
-        margin = np.clip(target * (x[used] @ w + b), -30, 30)
+        margin = np.clip(target * (x_used @ w + b), -30, 30)
         pull = -(target / (1 + np.exp(margin))) * weight[:, None]
-        vw = 0.9 * vw - rate * (x[used].T @ pull + 1e-6 * w)
+        vw = 0.9 * vw - rate * (x_used.T @ pull + 1e-6 * w)
         vb = 0.9 * vb - rate * pull.sum(0)
         w, b = w + vw, b + vb
     model = LanguageModel(languages, code, w, b, np.ones(code.shape[1], np.float32))
@@ -140,13 +141,18 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], rounds: int = 300, r
 
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """Fit on at most ``per_language`` rows of each language of ``labelled`` (``doc_id``, ``text``, ``lang``).
+    """Fit on at most ``per_language`` rows of each language of ``labelled`` (``doc_id``, ``text``, ``lang``), and ``MOST_ROWS`` in all.
 
     The counts of whole texts are made on the executors; the driver gets 4096 numbers for each
-    chosen row.
+    chosen row. Rows with a null in any of the three columns, or without a letter, are left
+    out, other columns ignored whatever their names; chosen are those with the lowest hash of
+    the id, so order and ties don't matter. Rows with equal ids are chosen together, repeated
+    rows as well. An empty table gives a model that knows no language, which calls every text
+    ``und``; one language only is predicted for every text with a letter.
     """
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = bounded_ids(labelled.select("doc_id", "lang"), "doc_id", "lang", per_language)
+    labels = labelled.select("doc_id", "lang").where("doc_id is not null")
+    ids = bounded_ids(labels, "doc_id", "lang", per_language, most_rows=MOST_ROWS).select("doc_id").distinct()
     chosen = labelled.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 
     @tidy
@@ -175,10 +181,13 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageMode
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``lang_pred``, ``score`` and ``ambiguous`` for every row of ``docs``, next to its other columns but ``text``.
 
-    A null text or one without a letter is ``und`` with score 0, and ambiguous.
+    A null text or one without a letter is ``und`` with score 0, and ambiguous. A text of any
+    length is read whole, a piece at a time. Of languages with equal losses the first by name
+    is taken. Columns of ``docs`` with these three names are replaced. Every row gives one row,
+    repeated ones and those with equal or null ids too; an empty table gives none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the features and languages
-    kept = [c for c in docs.columns if c != "text"]
+    kept = [c for c in docs.columns if c.lower() not in ("text", "lang_pred", "score", "ambiguous")]
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
 
     @tidy

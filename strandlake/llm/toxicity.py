@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandlake.llm.common import WordHash, bounded_ids, crc_of_id, fold_words, read_table, tidy
+from strandlake.llm.common import WordHash, bounded_ids, crc_of_id, fold_words, free_name, read_table, tidy
 from strandlake.session import shipped
 
 BUCKETS = 1 << 16
@@ -190,7 +190,10 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, max_wo
     """Fit on at most ``per_label`` documents of each value of ``labels.toxic``, of at most ``max_words`` words each.
 
     A quarter of them sets the thresholds. Rows without a label or an id are left out; with
-    one label only, every text scores that label.
+    one label only, every text scores that label, and with none, as in empty tables, all
+    texts score alike. An id with both labels counts as toxic. Chosen are the ids with the lowest
+    hash, so order and ties don't matter; rows of ``docs`` with equal ids are all learned from.
+    Columns other than ``doc_id``, ``text``, ``lang`` and ``toxic`` are ignored, whatever their names.
     """
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -223,7 +226,13 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, max_wo
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1), the whole text's; a null text is scored as an empty one."""
+    """``docs`` with ``score`` (0 to 1), the whole text's; a null text is scored as an empty one.
+
+    A text of any length is read whole, a piece at a time. A column ``score`` of ``docs`` is
+    replaced. Every row gives one row, repeated ones and those with equal or null ids too; an
+    empty table gives none.
+    """
+    docs = docs.select(*(c for c in docs.columns if c.lower() != "score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 tables of 65,536 rows
     kept = docs.columns
     at = kept.index("text")
@@ -240,13 +249,19 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """Rows of ``docs`` whose score stays below the threshold of their ``lang``, or the common one."""
+    """Rows of ``docs`` whose score stays below the threshold of their ``lang``, or the common one.
+
+    All columns are kept, one named ``score`` too. A null text is judged as an empty one, a
+    null or unknown ``lang`` by the common threshold; a score at the threshold goes.
+    Repeated rows are judged alike; an empty table gives none.
+    """
     kept = docs.columns
+    own = free_name(kept, "_own_score")
     limit = F.lit(model.threshold)
     if "lang" in kept:
         for name, value in sorted(model.by_language.items()):
             limit = F.when(F.col("lang") == name, F.lit(value)).otherwise(limit)
-    return score_documents(docs.withColumnRenamed("score", "_own_score") if "score" in kept else docs, model).where(F.col("score") < limit).drop("score").toDF(*kept)
+    return score_documents(docs.withColumnRenamed("score", own), model).where(F.col("score") < limit).drop("score").toDF(*kept)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,63 @@ def test_languages_without_rows(spark, no_documents):
     assert [r["lang_pred"] for r in langid.predict_languages(spark.createDataFrame([(1, "abc")], "doc_id long, text string"), one).collect()] == ["aa"]
 
 
+def test_clashing_names_and_odd_rows(spark):
+    """Columns with the names of results are replaced; repeated and null ids stay; equal ids of two languages are learned from."""
+    rows = [(1, "ka to mi", "aa"), (1, "ka to mi", "aa"), (2, "sch ung ein", "bb"), (2, "sch ung", "aa"), (None, "que ment", "cc"), (3, None, "bb"), (4, "ein ber", None)]
+    frame = spark.createDataFrame([(*r, "p", 0.5, True, "k") for r in rows], "doc_id long, text string, lang string, lang_pred string, score double, ambiguous boolean, _share string")
+    model = langid.train(frame)
+    assert model.languages == ["aa", "bb"]
+    got = langid.predict_languages(frame, model).select("doc_id", "lang_pred", "score", "ambiguous", "_share").collect()
+    assert len(got) == len(rows) and {r["lang_pred"] for r in got} <= {"aa", "bb", "und"}
+    labels = spark.createDataFrame([(1, 1, "z"), (2, 0, "z"), (2, 1, "z"), (4, 0, "z")], "doc_id long, toxic int, lang string")
+    judge = toxicity.train(frame, labels)
+    scored = toxicity.score_documents(frame, judge)
+    assert scored.columns.count("score") == 1 and scored.select("score").count() == len(rows)
+    odd = frame.withColumnRenamed("lang_pred", "_own_score")
+    assert toxicity.reject_toxic(odd, judge).columns == odd.columns
+
+
+def test_predictions_against_plain_reading(spark):
+    """Scores of the operators are those of a slow reading of the same models: n-grams one by one, windows one by one."""
+    rng = random.Random(12)
+    rows = [(i, text(rng, lang := rng.choice(["aa", "bb", "cc"]), rng.randint(1, 40)), lang) for i in range(200)] + [(900, "É! ka  to", "aa"), (901, "x", "bb")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(frame)
+    got = {r["doc_id"]: r for r in langid.predict_languages(frame, model).collect()}
+    for i, t, _ in rows:
+        kept = "".join(c if c.isalpha() else " " for c in t.lower())
+        while "  " in kept:
+            kept = kept.replace("  ", " ")
+        counts = np.zeros(langid.FEATURES)
+        for n in (1, 2, 3):
+            for a in range(len(kept) - n + 1):
+                h = ord(kept[a]) + (n << 32)
+                for c in kept[a + 1 : a + n]:
+                    h = (h * 1_000_003 + ord(c)) % 2**64
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+                    h = ((h ^ (h >> shift)) * factor) % 2**64
+                counts[h % langid.FEATURES] += 1
+        x = np.sqrt(counts / counts.sum())
+        losses = []
+        for word in model.code:
+            losses.append(sum(w * np.log1p(np.exp(-c * (x @ model.weights[:, b] + model.bias[b]))) for b, (c, w) in enumerate(zip(word, model.trust))) / model.trust.sum())
+        assert got[i]["lang_pred"] == model.languages[int(np.argmin(losses))]
+        share = np.exp(-8 * (np.array(losses) - min(losses)))
+        assert abs(got[i]["score"] - share.max() / share.sum()) < 1e-3
+    labels = spark.createDataFrame([(i, int(lang == "aa")) for i, _, lang in rows], "doc_id long, toxic int")
+    judge = toxicity.train(frame, labels)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_documents(frame, judge).collect()}
+    for i, t, _ in rows[::7]:
+        x = judge.embed(toxicity.word_rows(t, toxicity.WordHash()))
+        best = []
+        for k, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                found = [sum(float(x[a + j] @ judge.filters[k][j][:, f]) for j in range(width)) + float(judge.bias[k][f]) for a in range(len(x) - width + 1)]
+                best.append(max([0.0, *found]))
+        z = float(np.array(best) @ judge.out) + judge.out_bias
+        assert abs(scores[i] - 1 / (1 + np.exp(-z))) < 1e-3
+
+
 BAD = "vile wretch scum awful".split()
 
 
