@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import WordHash, fold_words, materialize, ngram_hashes, read_table, tidy
+from strandlake.llm.common import WordHash, fold_words, free_name, materialize, ngram_hashes, read_table, tidy
 from strandlake.session import shipped
 
 GRAM = 2
@@ -202,9 +202,17 @@ def contaminated(docs: DataFrame, items: DataFrame, least_score: float = LEAST_S
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` that no item was found in; rows without an id stay."""
-    found = materialize(contaminated(docs, items, least_score).select(F.col("doc_id").alias("_found")).distinct(), "contaminated")
-    return docs.join(found, docs["doc_id"] == found["_found"], "left_anti")
+    """The rows of ``docs`` that no item was found in, with all their columns, whatever those are called.
+
+    A row is judged by its text, told by a 64-bit hash: rows with equal or null ids and unlike
+    texts don't share their fate, repeated rows do. Null and empty texts stay; an empty table
+    gives none, and without items all rows stay.
+    """
+    told = F.xxhash64("text")
+    found = contaminated(docs.select(told.alias("doc_id"), "text"), items, least_score)
+    name = free_name(docs.columns, "_found")
+    found = materialize(found.select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.join(found, told == F.col(name), "left_anti")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
