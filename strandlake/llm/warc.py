@@ -82,6 +82,10 @@ def decide_types(pages: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) -> Da
 def write_warc(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
     """Write typed pages (see ``decide_types``) as one archive per task; a table of the files comes back.
 
+    Every row becomes a record, repeated ones and those with equal or null ids too; a null url
+    is an empty target. An empty table gives archives without records. A page is held in memory
+    as a whole. Other columns are ignored.
+
     A file's name holds the attempt that wrote it, and only files in the table count, so
     what failed or speculative attempts leave behind is never read.
     """
@@ -232,7 +236,11 @@ def records_in(handle, start: int, end: int, with_payload: bool = False) -> Iter
 def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool = False) -> DataFrame:
     """The records of archives (``file``, ``file_bytes``), in byte ranges dealt over tasks.
 
-    Broken members are passed over. Digest and size of a revisit are what its headers say.
+    Broken members are passed over. Digest and size of a revisit are what its headers say. A
+    record of any size is read whole, with headers of any length; its payload is in memory only
+    if asked for. Records with equal ids are all given, each once, whatever the ranges; a file
+    named twice is read twice, one of 0 bytes or with a null size not at all. Other columns are ignored; an
+    empty table gives no rows.
     """
     splits = files.where("file_bytes > 0").select(
         "file", F.explode(F.sequence(F.lit(0).cast("long"), F.col("file_bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"),
