@@ -147,3 +147,30 @@ def _digits(value: int, base: int) -> Iterator[str]:
     if head:
         yield from _digits(head, base)
     yield "0123456789abcdefghijklmnopqrstuvwxyz"[digit]
+
+
+NAME_SEPARATOR = "\u001d"
+
+
+def composite_name(qname: Column, mate: Column, sample: Column) -> Column:
+    """A read's name with a digest of its mate's sequence and its sample, so that it is unique over samples and mates."""
+    digest = F.when(mate.isNotNull(), F.substring(F.md5(mate), 1, 8)).otherwise(F.lit(""))
+    return F.concat_ws(NAME_SEPARATOR, qname, digest, sample.cast("string"))
+
+
+def name_parts(name: Column) -> Column:
+    """Struct of ``qname``, ``mate`` (the digest, null without a mate) and ``sample`` of a composite name."""
+    parts = F.split(name, NAME_SEPARATOR)
+    back = lambda i: F.get(parts, F.size(parts) - i)  # noqa: E731  the name itself may hold anything
+    own = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 2), NAME_SEPARATOR)
+    return F.struct(own.alias("qname"), F.nullif(back(2), F.lit("")).alias("mate"), back(1).cast("int").alias("sample"))
+
+
+def mate_free(qname: Column) -> Column:
+    """A read's name without the ``/1`` or ``/2`` that tells mates apart."""
+    return F.regexp_replace(qname, "/[12]$", "")
+
+
+def short_name(record: Column, sample: Column) -> Column:
+    """A name made of the record's number in base 36 and the sample, the same on every run."""
+    return F.concat_ws("_", base36(record), sample.cast("string"))

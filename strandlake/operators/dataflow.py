@@ -78,6 +78,42 @@ def balanced_splits(samples: DataFrame, key: str, size: str, n_splits: int) -> D
     return cut.select(key, F.col("split").cast("bigint").alias("split"), (lo - F.col("lo")).cast("bigint").alias("start"), (hi - lo).cast("bigint").alias("span"))
 
 
+def task_ordinal() -> Column:
+    """The number of the task that makes a row. It changes with the plan, so it names tasks, never rows."""
+    return F.spark_partition_id()
+
+
+def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``n`` rows chosen by a hash of ``key``, the same ones however the rows are dealt; each task sends ``n`` at most."""
+    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
+
+
+def first_match(rows: DataFrame, key: str, lookups: Sequence[tuple[DataFrame, str, str]], name: str) -> DataFrame:
+    """``rows`` with ``name``: what the first of the lookups (table, its key, its value) that has ``key`` says, null if none has.
+
+    Of several values for a key in one lookup the least counts.
+    """
+    out, found = rows, []
+    for i, (table, own, value) in enumerate(lookups):
+        one = table.where(F.col(own).isNotNull()).groupBy(F.col(own).alias(f"_k{i}")).agg(F.min(value).cast("string").alias(f"_v{i}"))
+        out = out.join(one, F.col(key) == F.col(f"_k{i}"), "left")
+        found.append(F.col(f"_v{i}"))
+    return out.select(*rows.columns, F.coalesce(*found).alias(name))
+
+
+def packed_files(files: DataFrame, size: str, target: int) -> DataFrame:
+    """``files`` with ``pack``: small files laid end to end in order of path and cut at multiples of ``target`` bytes.
+
+    One row per file; the running sum is made inside buckets of a hash and then over the buckets.
+    """
+    bucket = F.pmod(F.xxhash64("path"), F.lit(1_000))
+    inside = Window.partitionBy("_bucket").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = files.withColumn("_bucket", bucket)
+    before = dealt.groupBy("_bucket").agg(F.sum(size).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = dealt.withColumn("_at", F.coalesce(F.sum(size).over(inside), F.lit(0))).join(F.broadcast(before.drop("_n")), "_bucket")  # 1,000 rows
+    return placed.select(*files.columns, F.floor((F.col("_at") + F.col("_before")) / target).alias("pack"))
+
+
 def distinct_then_fan_out(df: DataFrame, key: str, work) -> DataFrame:
     """Do ``work`` once per distinct ``key`` and join what it gives back to every row."""
     return df.join(work(df.select(key).distinct()), key)

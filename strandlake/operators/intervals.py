@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandlake.functions.align import clip_size
+
 
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], bin_size: int = 1024, kind: str = "any") -> DataFrame:
     """Pairs of rows with equal keys whose [start, end_pos) overlap; b's columns get the suffix ``_b``.
@@ -98,6 +100,23 @@ def stretches(asked: DataFrame, chunks: DataFrame, chunk_size: int) -> DataFrame
     return asked.join(found, ["rname", "offset", "size"], "left").withColumn("seq", F.coalesce("seq", F.lit("")))
 
 
+def clipped_slices(alignments: DataFrame, chunks: DataFrame, chunk_size: int, keys: Sequence[str]) -> DataFrame:
+    """Reference bases next to an alignment under its soft clips: ``left_bases``, ``right_bases``, empty without a clip.
+
+    ``alignments`` has the keys, rname, pos and cigar; a row comes back for each with a clip.
+    """
+    left, right = clip_size(F.col("cigar"), "left").cast("bigint"), clip_size(F.col("cigar"), "right").cast("bigint")
+    taken = F.regexp_extract_all(F.col("cigar"), F.lit(r"(\d+)[MDN=X]"), F.lit(1))
+    end = F.col("pos") + F.aggregate(F.transform(taken, lambda n: n.cast("bigint")), F.lit(0).cast("bigint"), lambda a, n: a + n)
+    sides = F.array(
+        F.struct(F.lit("left_bases").alias("side"), (F.col("pos") - 1 - left).alias("offset"), left.alias("size")),
+        F.struct(F.lit("right_bases").alias("side"), (end - 1).alias("offset"), right.alias("size")),
+    )
+    asked = alignments.select(*keys, "rname", F.explode(sides).alias("x")).select(*keys, "rname", "x.*").where("size > 0")
+    side = lambda name: F.coalesce(F.max(F.when(F.col("side") == name, F.col("seq"))), F.lit("")).alias(name)
+    return stretches(asked, chunks, chunk_size).groupBy(*keys).agg(side("left_bases"), side("right_bases"))
+
+
 def fragments(configs: DataFrame, chunks: DataFrame, chunk_size: int) -> DataFrame:
     """Spliced reference of each configuration (rname, strand, starts, ends, left_ext, right_ext): a header and its bases.
 

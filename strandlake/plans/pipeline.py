@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.functions import align
 from strandlake.operators import alignments as al
 from strandlake.operators import coverage as cv
 from strandlake.operators import junctions as jn
+from strandlake.session import clear_scratch
 
 
 @dataclass
@@ -108,6 +109,10 @@ class Cohort:
     def nonref_mean(self) -> DataFrame:
         return cv.mean_track(self.mismatch_diffs(), self.mapped(), ("rname", "base"), self.parameters.library_size, self.parameters.bin_size)
 
+    def nonref_median(self) -> DataFrame:
+        cov = cv.binned_coverage(self.mismatch_diffs(), ("rname", "base", "sample"), self.parameters.bin_size)
+        return cv.median_track(cov, self.mapped(), self.parameters.library_size, ("rname", "base"), self.parameters.bin_size)
+
     def counts(self) -> DataFrame:
         return al.read_counts(self.alignments)
 
@@ -141,9 +146,51 @@ class Cohort:
         return jn.tsv_rows(across, self.samples.count())
 
     def deliverable(self, name: str) -> DataFrame:
-        """``bw``, ``bw_unique``, ``bed``, ``tsv``, ``norm``, ``mean``, ``median``, ``nonref`` or ``counts``; nothing else is computed."""
+        """``bw``, ``bw_unique``, ``bed``, ``tsv``, ``norm``, ``mean``, ``median``, ``nonref``, ``nonref_median`` or ``counts``; nothing else is computed."""
         makers = {
             "bw": self.bedgraph, "bw_unique": lambda: self.bedgraph(True), "bed": self.bed, "tsv": self.tables, "norm": self.normalization,
-            "mean": self.mean, "median": self.median, "nonref": self.nonref_mean, "counts": self.counts,
+            "mean": self.mean, "median": self.median, "nonref": self.nonref_mean, "nonref_median": self.nonref_median, "counts": self.counts,
         }
         return makers[name]()
+
+    def explain(self, *names: str) -> dict[str, str]:
+        """The physical plan of each deliverable, without running it; what is only planned by running part of it is still run."""
+        out = {}
+        for name in names:
+            df = self.deliverable(name)
+            out[name] = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        return out
+
+    def write(self, folder: str, *names: str, resume: bool = True, clear: bool = False) -> dict[str, DataFrame]:
+        """Deliverables as Parquet below ``folder``, read back.
+
+        With ``resume`` those that a run before has ended are not made again: a table counts as
+        ended when its commit mark is there. ``clear`` deletes the intermediate tables at the end.
+        """
+        spark = self.alignments.sparkSession
+        out = {}
+        for name in names:
+            path = f"{folder}/{name}"
+            if not (resume and _exists(spark, f"{path}/_SUCCESS")):
+                self.deliverable(name).write.mode("overwrite").parquet(path)
+            out[name] = spark.read.parquet(path)
+        if clear:
+            clear_scratch(spark)
+        return out
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found, system = _path(spark, path)
+    return system.exists(found)
+
+
+def copied(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Copy a folder from one file system to another after a run; gives the names in the copy, sorted."""
+    (a, from_system), (b, to_system) = _path(spark, source), _path(spark, target)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(from_system, a, to_system, b, False, True, spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in to_system.listStatus(b))

@@ -252,3 +252,17 @@ def lift_over(spark, sf):
         F.least("shift", c("exon1") + c("exon2") + 20).alias("from"), "cigar",
     )
     return lifted(rows, "start", "exons", "introns", "from", "cigar").where("genome_cigar is not null").select("read_id", "alt", "genome_pos", "genome_cigar")
+
+
+@query("clipped_slices", sql("""
+WITH genome AS (SELECT rname, concat(string_agg(bases, '' ORDER BY chunk), repeat('N', 1000)) AS g FROM v_reference GROUP BY rname),
+a AS (SELECT *, CAST(regexp_extract(cigar, '^([0-9]+)S', 1) AS BIGINT) AS clip FROM v_alignments WHERE cigar LIKE '%S%')
+SELECT qname, alt, rname, pos, cigar, concat(repeat('N', CAST(greatest(clip - pos + 1, 0) AS INT)), substr(g, greatest(pos - clip, 1), clip - greatest(clip - pos + 1, 0))) AS left_bases, '' AS right_bases
+FROM (SELECT DISTINCT qname, alt, rname, pos, cigar, clip FROM a) JOIN genome USING (rname)""", "v_alignments", "v_reference"))
+def clipped_slices(spark, sf):
+    from strandlake.operators.intervals import clipped_slices as sliced
+
+    rows = view(spark, sf, "v_alignments").select("qname", "alt", "rname", "pos", "cigar").distinct()
+    keyed = rows.withColumnsRenamed({"rname": "contig"}).withColumn("rname", F.col("contig")).withColumn("at", F.col("pos")).withColumn("ops", F.col("cigar"))
+    found = sliced(keyed, view(spark, sf, "v_reference"), 32, ["qname", "alt", "contig", "at", "ops"])
+    return found.withColumnsRenamed({"contig": "rname", "at": "pos", "ops": "cigar"})

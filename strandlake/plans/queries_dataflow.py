@@ -157,3 +157,14 @@ def union_cogroup(spark, sf):
     a = view(spark, sf, "v_alignments").select("qname", "as_score", (F.col("alt") % 2).alias("t"))
     both = dfl.union_all(a.where("t = 0"), a.where("t = 1"))
     return both.groupBy("qname").agg(F.count_if(F.col("t") == 0).alias("postponed"), F.count_if(F.col("t") == 1).alias("realigned"), F.max("as_score").alias("best"))
+
+
+@query("first_match", """
+WITH r AS (SELECT r_regionkey AS k, min(r_name) AS v FROM region GROUP BY ALL), n AS (SELECT n_nationkey AS k, min(n_name) AS v FROM nation GROUP BY ALL), s AS (SELECT s_suppkey AS k, min(s_name) AS v FROM supplier GROUP BY ALL)
+SELECT o_orderkey, o_custkey % 60 AS k, coalesce(r.v, n.v, s.v) AS label FROM orders LEFT JOIN r ON r.k = o_custkey % 60 LEFT JOIN n ON n.k = o_custkey % 60 LEFT JOIN s ON s.k = o_custkey % 60""")
+def first_match(spark, sf):
+    from strandlake.operators.dataflow import first_match as matched
+
+    rows = table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 60).alias("k"))
+    lookups = [(table(spark, sf, t), f"{t[0]}_{k}", f"{t[0]}_name") for t, k in (("region", "regionkey"), ("nation", "nationkey"), ("supplier", "suppkey"))]
+    return matched(rows, "k", lookups, "label")

@@ -88,3 +88,33 @@ def truth_vs_called(spark, sf):
     c = exons.where("start % 3 = 0").withColumn("called", F.lit(1))
     shared = F.greatest(F.lit(0).cast("bigint"), F.least("e", "end_pos") - F.greatest("s", "start"))
     return t.join(c, "transcript", "full").groupBy("transcript").agg(F.max(shared).alias("best"), F.count("called").alias("calls"))
+
+
+@query("mate_matches", """
+WITH x AS (SELECT l_orderkey, l_linenumber % 2 AS m, l_linenumber % 3 = 0 AS t, l_partkey % 6 AS v FROM lineitem),
+s AS (SELECT l_orderkey, list(DISTINCT v) FILTER (WHERE t AND m = 0) AS t0, list(DISTINCT v) FILTER (WHERE t AND m = 1) AS t1, list(DISTINCT v) FILTER (WHERE NOT t AND m = 0) AS c0, list(DISTINCT v) FILTER (WHERE NOT t AND m = 1) AS c1 FROM x GROUP BY l_orderkey),
+e AS (SELECT l_orderkey, coalesce(t0, []) AS t0, coalesce(t1, []) AS t1, coalesce(c0, []) AS c0, coalesce(c1, []) AS c1 FROM s)
+SELECT l_orderkey, CAST(greatest(len(list_intersect(t0, c0)) + len(list_intersect(t1, c1)), len(list_intersect(t0, c1)) + len(list_intersect(t1, c0))) AS INT) AS matched,
+  CAST(len(t0) + len(t1) AS INT) AS relevant, CAST(len(c0) + len(c1) AS INT) AS retrieved FROM e""")
+def mate_matches(spark, sf):
+    from strandlake.operators.metrics import mate_matches as matched
+
+    mate, value, true = F.col("l_linenumber") % 2, F.col("l_partkey") % 6, F.col("l_linenumber") % 3 == 0
+    of = lambda part, m: F.collect_set(F.when(part & (mate == m), value))
+    both = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array(of(true, 0), of(true, 1)).alias("t"), F.array(of(~true, 0), of(~true, 1)).alias("c"))
+    return matched(both.select("l_orderkey", F.col("t").alias("x")), both.select("l_orderkey", F.col("c").alias("x")), "l_orderkey", "x")
+
+
+@query("regression_shares", """
+WITH v AS (SELECT l_suppkey AS region, l_linenumber AS sample, sum(l_quantity) AS value FROM lineitem GROUP BY ALL),
+j AS (SELECT region, value, CAST(sample * sample % 7 AS DOUBLE) AS x FROM v),
+r AS (SELECT region, coalesce(regr_r2(value, x), 0) AS r2, var_pop(value) AS spread, var_pop(x) AS width FROM j GROUP BY region)
+SELECT region, 'x' AS term, round(CASE WHEN spread > 0 AND width > 0 THEN r2 ELSE 0 END, 6) AS share FROM r UNION ALL
+SELECT region, 'residual', round(CASE WHEN spread > 0 THEN 1 - CASE WHEN width > 0 THEN r2 ELSE 0 END ELSE 0 END, 6) FROM r""")
+def regression_shares(spark, sf):
+    from strandlake.operators.metrics import regression_shares as shares
+
+    lines = table(spark, sf, "lineitem")
+    values = lines.groupBy(F.col("l_suppkey").alias("region"), F.col("l_linenumber").alias("sample")).agg(F.sum("l_quantity").alias("value"))
+    covariates = lines.select(F.col("l_linenumber").alias("sample")).distinct().withColumn("x", (F.col("sample") * F.col("sample") % 7).cast("double"))
+    return shares(values, covariates, ["region"], ["x"]).withColumn("share", F.round("share", 6))

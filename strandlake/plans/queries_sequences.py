@@ -207,3 +207,34 @@ def suffix_match(spark, sf):
     )
     found = reads.select("qname", matched(F.col("query"), F.col("win"), 8).alias("m")).where("m is not null")
     return found.select("qname", F.col("m.offset").alias("offset"), F.col("m.size").alias("size"))
+
+
+@query("composite_names", sql("""
+SELECT qname, concat('q/', qname, chr(29), substr(md5(seq), 1, 8), chr(29), sample) AS name FROM v_reads""", "v_reads"))
+def composite_names(spark, sf):
+    reads = view(spark, sf, "v_reads")
+    return reads.select("qname", sq.composite_name(F.concat(F.lit("q/"), F.col("qname").cast("string")), F.col("seq"), F.col("sample")).alias("name"))
+
+
+@query("name_parts", sql("""
+SELECT qname AS id, concat('q/', qname) AS qname, CASE WHEN sample > 0 THEN substr(md5(seq), 1, 8) END AS mate, sample FROM v_reads""", "v_reads"))
+def name_parts(spark, sf):
+    mate = F.when(F.col("sample") > 0, F.col("seq"))
+    named = view(spark, sf, "v_reads").select(F.col("qname").alias("id"), sq.composite_name(F.concat(F.lit("q/"), F.col("qname").cast("string")), mate, F.col("sample")).alias("name"))
+    return named.select("id", sq.name_parts(F.col("name")).alias("p")).select("id", "p.*")
+
+
+@query("short_names", sql("""
+SELECT qname, concat(CASE WHEN r >= 46656 THEN substr(d, CAST(r // 46656 % 36 + 1 AS INT), 1) ELSE '' END, CASE WHEN r >= 1296 THEN substr(d, CAST(r // 1296 % 36 + 1 AS INT), 1) ELSE '' END,
+  CASE WHEN r >= 36 THEN substr(d, CAST(r // 36 % 36 + 1 AS INT), 1) ELSE '' END, substr(d, CAST(r % 36 + 1 AS INT), 1), '_', sample) AS name
+FROM (SELECT *, qname % 1000000 AS r, '0123456789abcdefghijklmnopqrstuvwxyz' AS d FROM v_reads)""", "v_reads"))
+def short_names(spark, sf):
+    return view(spark, sf, "v_reads").select("qname", sq.short_name(F.col("qname") % 1_000_000, F.col("sample")).alias("name"))
+
+
+@query("hash_sample", sql("SELECT qname, seq FROM v_reads ORDER BY md5(CAST(qname AS VARCHAR)), qname LIMIT 1000", "v_reads"))
+def hash_sample(spark, sf):
+    """A sample of fixed size, which is the operator's feature."""
+    from strandlake.operators.dataflow import hash_sample as sampled
+
+    return sampled(view(spark, sf, "v_reads").select("qname", "seq"), "qname", 1_000)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions import seq as sq
+from strandlake.plans.spec import one_row_tasks
 from strandlake.session import shipped
 
 
@@ -32,86 +33,154 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-READS = "file string, record long, qname string, seq string, qual string, bad boolean"
+READS = "file string, record long, qname string, seq string, qual string"
+#: Bytes of a plain file that one task reads records from.
+SPLIT_BYTES = 128 << 20
 
 
-def _records(lines: Iterator[bytes]) -> Iterator[tuple[str, str, str, bool]]:
-    """(name, sequence, quality, malformed) of FASTQ or FASTA lines; FASTA gets the quality ``h`` throughout."""
-    text = (x.decode("latin-1").rstrip("\r\n") for x in lines)
-    first = next(text, None)
-    while first is not None and not first:
-        first = next(text, None)
-    if first is None:
-        return
-    if first[0] in ">;":
-        name, parts = first[1:].split(" ")[0], []
-        for line in text:
-            if line[:1] in (">", ";") and line:
-                yield name, "".join(parts), "h" * sum(map(len, parts)), False
-                name, parts = line[1:].split(" ")[0], []
-            else:
-                parts.append(line)
-        yield name, "".join(parts), "h" * sum(map(len, parts)), False
+def _uri(path: str) -> str:
+    """A path as Hadoop names it, as a URI that pyarrow takes."""
+    if path.startswith("file:/") and not path.startswith("file:///"):
+        return "file:///" + path.removeprefix("file:").lstrip("/")
+    return "s3" + path[path.index(":") :] if path.startswith(("s3a:", "s3n:")) else path
+
+
+def _lines(handle, at: int = 0) -> Iterator[tuple[int, str]]:
+    """Lines with their places, from a stream; a gzip stream that is cut short ends where it does."""
+    try:
+        for raw in handle:
+            yield at, raw.decode("latin-1").rstrip("\r\n")
+            at += len(raw)
+    except EOFError:
         return
-    while first is not None:
-        seq, plus, qual = next(text, None), next(text, None), next(text, None)
-        bad = qual is None or not first.startswith("@") or not plus.startswith("+") or len(seq) != len(qual)
-        yield first[1:].split(" ")[0], seq or "", qual or "", bad
-        first = next(text, None)
-        while first is not None and not first:
-            first = next(text, None)
 
 
-def _opened(name: str, data: bytes) -> Iterator[tuple[str, io.BufferedIOBase]]:
-    """Members of an archive, or the file itself, decompressed by magic bytes; lanes in order of name."""
-    import gzip
+def _records(lines: Iterator[tuple[int, str]], end: float = float("inf")) -> Iterator[tuple[int, str, str, str, bool]]:
+    """(place, name, sequence, quality, malformed) of FASTQ or FASTA lines, of records that begin before ``end``.
 
-    raw: io.BufferedIOBase = io.BytesIO(data)
-    if ".tar" in name.rsplit("/", 1)[-1]:
-        with tarfile.open(fileobj=raw) as tar:
-            for member in sorted((m for m in tar.getmembers() if m.isfile()), key=lambda m: m.name):
-                handle = tar.extractfile(member)
-                yield f"{name}:{member.name}", gzip.open(handle) if member.name.endswith(".gz") else handle
+    FASTA gets the quality ``h`` throughout.
+    """
+    lines = ((at, x) for at, x in lines)
+    first = next((x for x in lines if x[1]), None)
+    if first is not None and first[1][0] in ">;":
+        at, name, parts = first[0], first[1][1:].split(" ")[0], []
+        for here, line in lines:
+            if line[:1] in (">", ";") and line:
+                yield at, name, "".join(parts), "h" * sum(map(len, parts)), False
+                at, name, parts = here, line[1:].split(" ")[0], []
+                if at >= end:
+                    return
+            else:
+                parts.append(line)
+        yield at, name, "".join(parts), "h" * sum(map(len, parts)), False
         return
-    yield name, gzip.GzipFile(fileobj=raw) if data[:2] == b"\x1f\x8b" else raw
+    while first is not None and first[0] < end:
+        seq, plus, qual = (next(lines, (0, None))[1] for _ in range(3))
+        bad = qual is None or not first[1].startswith("@") or not plus.startswith("+") or len(seq) != len(qual)
+        yield first[0], first[1][1:].split(" ")[0], seq or "", qual or "", bad
+        first = next((x for x in lines if x[1]), None)
 
 
-def _lines(handle) -> Iterator[bytes]:
-    try:
-        yield from handle
-    except EOFError:  # a gzip file cut short: what could be read counts
-        return
+def _from_range(handle, start: int) -> Iterator[tuple[int, str]]:
+    """Lines from the first record that begins at ``start`` or later on.
 
+    A FASTQ record begins with ``@``, has ``+`` two lines on, and as many qualities as bases; a
+    FASTA record begins with its cue. Where the file's first byte is a FASTA cue, only that is looked for.
+    """
+    import itertools
+
+    fasta = handle.read(1) in (b">", b";")
+    if start == 0:
+        handle.seek(0)
+        return _lines(handle)
+    handle.seek(start - 1)
+    start += len(handle.readline()) - 1  # what is left of the line that begins before
+    lines = _lines(handle, start)
+    if fasta:
+        return itertools.dropwhile(lambda x: x[1][:1] not in (">", ";") or not x[1], lines)
+    held: list[tuple[int, str]] = []
+    for line in lines:
+        held.append(line)
+        if len(held) < 4:
+            continue
+        a, b, c, d = (x[1] for x in held[-4:])
+        if a.startswith("@") and c.startswith("+") and len(b) == len(d):
+            return itertools.chain(held[-4:], lines)
+    return iter(())
+
+
+def _streams(path: str, start: int, end: int, split: int) -> Iterator[tuple[str, Iterator[tuple[int, str]], float]]:
+    """Streams of lines with the name of what they come from: a range of a plain file; in the task of the first range, a
+    gzipped file or the members of an archive, lanes in order of name, as a whole."""
+    import gzip
 
-def read_sequences(spark: SparkSession, paths: str | list[str], skip_bad: bool = False) -> DataFrame:
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(_uri(path))
+    with system.open_input_file(name) as raw:
+        packed = raw.read(2) == b"\x1f\x8b"
+        raw.seek(0)
+        if ".tar" in path.rsplit("/", 1)[-1]:
+            if start == 0:
+                with tarfile.open(fileobj=raw) as tar:
+                    for member in sorted((m for m in tar.getmembers() if m.isfile()), key=lambda m: m.name):
+                        inner = tar.extractfile(member)
+                        yield f"{path}:{member.name}", _lines(gzip.open(inner) if member.name.endswith(".gz") else inner), float("inf")
+        elif packed:
+            if start == 0:
+                yield path, _lines(gzip.GzipFile(fileobj=raw)), float("inf")
+        else:
+            yield path, _from_range(io.BufferedReader(raw), start), end
+
+
+def read_sequences(spark: SparkSession, paths: str | list[str], skip_bad: bool = False, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Records of FASTQ and FASTA files, plain or gzipped (told by magic bytes), alone or in tar archives.
 
-    A file is one task's work, as it is for any gzip file; inputs should be many files. A
-    malformed record fails the query unless ``skip_bad``.
+    Files stream through the tasks and are never held whole. A plain file is read in ranges of
+    ``split_bytes``, each record by the range that it begins in; a gzipped file or an archive is
+    one task's work. ``record`` is a record's place in its file or stream. A malformed record fails
+    the query unless ``skip_bad``; the rest of a range is read on from the next line but three.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for name, handle in _opened(path, data.as_py()):
-                    rows = []
-                    for i, (qname, seq, qual, bad) in enumerate(_records(_lines(handle))):
+            for path, start, size in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                for name, lines, end in _streams(path, start, min(start + split_bytes, size), split_bytes):
+                    rows, held = [], 0
+                    for place, qname, seq, qual, bad in _records(lines, end):
                         if bad and not skip_bad:
-                            raise BadRecords(f"malformed record {i} ({qname}) in {name}")
+                            raise BadRecords(f"malformed record at {place} ({qname}) in {name}")
                         if not bad:
-                            rows.append((name, i, qname, seq, qual, bad))
-                        if len(rows) >= 20_000:
+                            rows.append((name, place, qname, seq, qual))
+                            held += len(seq)
+                        if len(rows) >= 20_000 or held > 8 << 20:
                             yield _batch(rows)
-                            rows = []
+                            rows, held = [], 0
                     if rows:
                         yield _batch(rows)
 
     def _batch(rows):
         cols = list(zip(*rows))
-        types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["file", "record", "qname", "seq", "qual", "bad"])
+        types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["file", "record", "qname", "seq", "qual"])
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "length").where("length > 0")  # their bytes aren't read here
+    ranges = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"), "length")
+    return shipped(one_row_tasks(ranges)).mapInArrow(run, READS)
+
+
+def paired(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Mates of two sets of records (see ``read_sequences``) in one row: those with equal names but for ``/1`` and ``/2``.
+
+    A read without a mate stays, with nulls on the other side. Names must be unique in a set.
+    """
+    side = lambda df, n: df.select(sq.mate_free(F.col("qname")).alias("qname"), F.col("seq").alias(f"seq{n}"), F.col("qual").alias(f"qual{n}"))
+    return side(left, 1).join(side(right, 2), "qname", "full")
+
 
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return shipped(files).mapInArrow(run, READS).drop("bad")
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSON lines; lines that aren't valid are passed over. Compressed files are read by Hadoop's codecs, LZO too where it has one."""
+    parsed = spark.read.text(path).select(F.from_json("value", schema + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("x"))
+    return parsed.where("x is not null and x._bad is null").select("x.*").drop("_bad")
 
 
 def canonical_reads(reads: DataFrame, sample: int, encoding: str | None = None, bin_qualities: bool = True) -> DataFrame:

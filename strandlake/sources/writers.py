@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +41,35 @@ def sam_header(contigs: DataFrame) -> str:
     return "\n".join(["@HD\tVN:1.0\tSO:coordinate", *(f"@SQ\tSN:{r['rname']}\tLN:{r['length']}" for r in rows), "@PG\tID:strandlake"]) + "\n"
 
 
-def write_sam(alignments: DataFrame, path: str) -> None:
-    """SAM text by sample and contig, sorted by position in each file."""
-    lines = sam_lines(alignments).repartition("sample", "rname").sortWithinPartitions("sample", "rname", "pos")
-    lines.select("sample", "rname", "line").write.partitionBy("sample", "rname").text(path)
+def write_sam(alignments: DataFrame, path: str, contigs: DataFrame | None = None) -> None:
+    """SAM text by sample and contig, sorted by position in each file, behind a header if ``contigs`` are given."""
+    lines = sam_lines(alignments).withColumn("_order", F.lit(1 << 30))
+    if contigs is not None:
+        head = F.array(*(F.struct(F.lit(i).alias("_order"), F.lit(x).alias("line")) for i, x in enumerate(sam_header(contigs).splitlines())))
+        each = lines.select("sample", "rname").distinct().select("sample", "rname", F.lit(-1).cast("bigint").alias("pos"), F.explode(head).alias("x"))
+        lines = lines.unionByName(each.select("sample", "rname", "pos", "x.line", "x._order"))
+    ordered = lines.repartition("sample", "rname").sortWithinPartitions("sample", "rname", "_order", "pos")
+    ordered.select("sample", "rname", "line").write.partitionBy("sample", "rname").text(path)
+
+
+def write_in_order(df: DataFrame, order: Sequence[str], path: str) -> None:
+    """Text lines (``line``) in one file, in order: for consumers that need a whole in sequence, such as an index builder.
+
+    The sort is spread over all tasks; one task writes what they send it, without holding it.
+    """
+    df.orderBy(*order).select("line").coalesce(1).write.option("compression", "gzip").text(path)
+
+
+def fasta_lines(fragments: DataFrame) -> DataFrame:
+    """Fragments (see ``intervals.fragments``) as FASTA: a header with contig, strand, start, exon and intron sizes, then the bases."""
+    sizes = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
+    head = F.concat(F.lit(">"), F.concat_ws(";", F.concat("rname", "strand"), F.col("start").cast("string"), sizes("exon_sizes"), sizes("intron_sizes")))
+    return fragments.select("rname", "start", head.alias("name"), F.explode(F.array(F.struct(F.lit(0).alias("o"), head.alias("line")), F.struct(F.lit(1).alias("o"), F.col("sequence").alias("line")))).alias("x")).select("rname", "start", "name", "x.o", "x.line")
+
+
+def write_fragments(fragments: DataFrame, path: str) -> None:
+    """All fragments as one gzipped FASTA file, which an aligner's index is built from, in order of contig and start."""
+    write_in_order(fasta_lines(fragments), ["rname", "start", "name", "o"], path)
 
 
 def write_reads(reads: DataFrame, path: str, records_per_file: int = 80_000) -> None:

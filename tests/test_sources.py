@@ -2,6 +2,8 @@
 
 import gzip
 import io
+import random
+import struct
 import tarfile
 
 import pytest
@@ -42,6 +44,55 @@ def test_sequences(spark, tmp_path):
     assert len(read("f.gz", skip_bad=True)) > 100
 
 
+def test_ranges_and_mates(spark, tmp_path):
+    """Records are read once whatever the ranges, also where a quality begins like a name; mates meet by name."""
+    rng = random.Random(2)
+    want, texts = {}, {1: "", 2: ""}
+    for i in range(300):
+        for mate in (1, 2):
+            n = rng.randint(1, 40)
+            seq, qual = "".join(rng.choices("ACGT", k=n)), "".join(rng.choices("@+AI!", k=n))
+            want.setdefault(f"r{i}", []).append((seq, qual))
+            texts[mate] += f"@r{i}/{mate} x\n{seq}\n+\n{qual}\n"
+    for mate, text in texts.items():
+        (tmp_path / f"m{mate}.fastq").write_text(text)
+    sides = [readers.read_sequences(spark, str(tmp_path / f"m{mate}.fastq"), split_bytes=size) for mate, size in ((1, 997), (2, 1 << 20))]
+    rows = readers.paired(*sides).collect()
+    assert {r["qname"]: [(r["seq1"], r["qual1"]), (r["seq2"], r["qual2"])] for r in rows} == want and len(rows) == 300
+    fasta = "".join(f">c{i}\n" + "ACGT\n" * rng.randint(0, 9) for i in range(50))
+    (tmp_path / "c.fa").write_text(fasta)
+    found = {r["qname"]: r["seq"] for r in readers.read_sequences(spark, str(tmp_path / "c.fa"), split_bytes=61).collect()}
+    assert found == {p.split("\n")[0]: "".join(p.split("\n")[1:]) for p in fasta.split(">")[1:]}
+
+
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "j").write_text('{"a": 1}\nnot json\n{"a": 2, "b": "x"}\n{"a": \n')
+    assert sorted(map(tuple, readers.read_json_lines(spark, str(tmp_path / "j"), "a int, b string").collect()), key=str) == [(1, None), (2, "x")]
+
+
+def test_fetch_and_programs(spark, tmp_path):
+    import hashlib
+
+    from strandlake.sources import fetch
+
+    (tmp_path / "a.txt").write_text("hello\n")
+    digest = hashlib.md5(b"hello\n").hexdigest()
+    rows = [(f"file://{tmp_path}/a.txt", digest, None, None, "s"), ("say:ACC1", "0", None, None, "t")]
+    manifest = spark.createDataFrame(rows, "url1 string, md5_1 string, url2 string, md5_2 string, sample_label string")
+    files = fetch.fetched(manifest, f"file://{tmp_path}/got", programs={"say": ("echo",)}).collect()
+    assert {(tmp_path / "got" / r["file"].rsplit("/", 1)[1]).read_text() for r in files} == {"hello\n", "ACC1\n"} and {r["bytes"] for r in files} == {5, 6}
+    wrong = manifest.limit(1).replace(digest, "1" * 32)
+    with pytest.raises(Exception, match="MD5"):
+        fetch.fetched(wrong, f"file://{tmp_path}/no", tries=2, wait=0.01).collect()
+    assert not [p for p in (tmp_path / "no").iterdir() if not p.name.startswith(".")]
+    accessions = fetch.accession_manifest(spark.createDataFrame([("SRR1", "one")], "accession string, sample_label string")).first()
+    assert (accessions["url1"], accessions["md5_1"], accessions["sample_label"]) == ("sra:SRR1", "0", "one")
+    lines = fetch.piped(spark.range(5000).selectExpr("id", "'x' as t").repartition(3), ("tr", "x", "y")).collect()
+    assert sorted(int(r[0].split("\t")[0]) for r in lines) == list(range(5000)) and lines[0][0].endswith("\ty")
+    with pytest.raises(Exception, match="ended with"):
+        fetch.piped(spark.range(5), ("false",)).collect()
+
+
 def test_bad_records(spark, tmp_path):
     (tmp_path / "bad.fastq").write_text(BAD)
     assert [r["qname"] for r in readers.read_sequences(spark, str(tmp_path / "bad.fastq"), skip_bad=True).collect()] == ["good"]
@@ -133,6 +184,81 @@ def test_sinks(spark, cohort, tmp_path):
     assert spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "tsv")).count() == 3
 
 
+def test_bam(spark, cohort, tmp_path):
+    """Records read back byte by byte, through any reader of gzip members."""
+    from strandlake.sources import bam
+
+    files = bam.write_bam(cohort.alignments, cohort.contigs, f"file://{tmp_path}/bam").collect()
+    assert sum(r["records"] for r in files) == len(SAM) and {r["rname"] for r in files} == {"c1", "c2", "*"}
+    seen = []
+    for f in files:
+        raw = (tmp_path / "bam" / f["file"].rsplit("/", 1)[1]).read_bytes()
+        assert raw.endswith(bam.END)
+        data = gzip.decompress(raw)
+        assert data[:4] == b"BAM\1"
+        size = struct.unpack_from("<i", data, 4)[0]
+        assert data[8 : 8 + size].decode() == writers.sam_header(cohort.contigs)
+        at, names = 12 + size, []
+        for _ in range(struct.unpack_from("<i", data, 8 + size)[0]):
+            n = struct.unpack_from("<i", data, at)[0]
+            names.append((data[at + 4 : at + 3 + n].decode(), struct.unpack_from("<i", data, at + 4 + n)[0]))
+            at += 8 + n
+        assert names == [("c1", 100), ("c2", 50)]
+        last = -1
+        while at < len(data):
+            length, ref, pos, n_name, mapq, bin_, n_ops, flag, n_seq = struct.unpack_from("<iiiBBHHHi", data, at)
+            body = data[at + 36 : at + 4 + length]
+            name, ops = body[: n_name - 1].decode(), struct.unpack_from(f"<{n_ops}I", body, n_name)
+            cigar = "".join(f"{o >> 4}{bam.OPERATIONS[o & 15]}" for o in ops) or "*"
+            packed = body[n_name + 4 * n_ops : n_name + 4 * n_ops + (n_seq + 1) // 2]
+            seq = "".join(bam.BASES[x >> 4] + bam.BASES[x & 15] for x in packed)[:n_seq]
+            tags = body[n_name + 4 * n_ops + (n_seq + 1) // 2 + n_seq :]
+            assert pos >= last and bin_ == bam.bin_of(max(pos, 0), max(pos, 0) + 1)
+            last = pos
+            seen.append((name, flag, names[ref][0] if ref >= 0 else "*", pos + 1, cigar, seq, b"ZSi" in tags, tags[tags.index(b"MDZ") + 3 : -1].decode()))
+            at += 4 + length
+    assert sorted(seen) == sorted((q, f, r, p, c, s, x is not None, md) for q, f, r, p, c, s, _, x, md in SAM)
+    blocks = bam.bgzf(b"x" * 1000)
+    assert struct.unpack_from("<H", blocks, 16)[0] == len(blocks) - 1 and [bam.bin_of(0, 1), bam.bin_of(0, 1 << 14), bam.bin_of(16383, 16385), bam.bin_of(0, 1 << 29)] == [4681, 4681, 585, 0]
+
+
+def test_sam_header_and_single_files(spark, cohort, tmp_path):
+    writers.write_sam(cohort.alignments, str(tmp_path / "s"), cohort.contigs)
+    files = list((tmp_path / "s").rglob("*.txt"))
+    assert len(files) == 3 and all(f.read_text().startswith(writers.sam_header(cohort.contigs)) for f in files)
+    some = spark.createDataFrame([("b", "+", 5, [3, 2], [10], "ACGTA"), ("a", "+", 9, [1, 1], [7], "CC")], "rname string, strand string, start long, exon_sizes array<long>, intron_sizes array<long>, sequence string")
+    writers.write_fragments(some, str(tmp_path / "f"))
+    (one,) = (tmp_path / "f").glob("*.gz")
+    assert gzip.decompress(one.read_bytes()).decode() == ">a+;9;1,1;7\nCC\n>b+;5;3,2;10\nACGTA\n"
+
+
+def test_runs_end_and_resume(spark, cohort, tmp_path):
+    from strandlake.plans import pipeline
+
+    made = cohort.write(f"file://{tmp_path}/out", "counts", "bed")
+    mark = (tmp_path / "out" / "counts" / "_SUCCESS").stat().st_mtime_ns
+    again = cohort.write(f"file://{tmp_path}/out", "counts")
+    assert (tmp_path / "out" / "counts" / "_SUCCESS").stat().st_mtime_ns == mark and again["counts"].count() == made["counts"].count() == 3
+    assert "Scan text" in cohort.explain("counts")["counts"]
+    names = pipeline.copied(spark, f"file://{tmp_path}/out/counts", f"file://{tmp_path}/copy")
+    assert "_SUCCESS" in names and spark.read.parquet(f"file://{tmp_path}/copy").count() == 3
+
+
+def test_scratch(spark):
+    from strandlake.session import removed, scratch_root, smaller_batches, written
+
+    frame = written(spark.range(5).toDF("x"), "some")
+    folder = frame.inputFiles()[0].rsplit("/", 1)[0]
+    assert scratch_root(spark).removeprefix("file://").removeprefix("file:") in folder and sorted(r[0] for r in frame.collect()) == list(range(5))
+    removed(frame)
+    with pytest.raises(Exception):
+        spark.read.parquet(folder).count()
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    smaller_batches(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(4 << 20)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+
+
 def test_stream(spark, tmp_path):
     from strandlake.streaming.keyed import run_to_table, windowed_sums
 
