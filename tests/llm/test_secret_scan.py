@@ -59,6 +59,59 @@ def test_redact(spark, model):
         assert not base(out[i]["text"] or "") or i == 9, out[i]["text"]
 
 
+def test_many_matches(spark, model):
+    """More matches than a block has, beyond ASCII, with random tokens next to and inside of base spans."""
+    parts = ["é token=%s, AKIA%s; %s\U0001f600 dGhpcyBpc1ZhbmRvbTEyMzQ1Njc4OTBxd2Vy" % ("abc%04d" % i, "ABCDEFGHIJKLMNOP%d" % i, "deadbeef" * 3) for i in range(700)]
+    text = "\n".join(parts)
+    row = ss.report(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    want = base(text)
+    assert [x for x in row["spans"].split(",") if not x.startswith("random")] == [f"{ss.KINDS[k]}:{a}:{e}" for a, k, e in want]
+    random = [tuple(map(int, x.split(":")[1:])) for x in row["spans"].split(",") if x.startswith("random")]
+    assert {text[a:e] for a, e in random} == {"dGhpcyBpc1ZhbmRvbTEyMzQ1Njc4OTBxd2Vy"} and len(random) == 700
+    out = ss.redact(spark.createDataFrame([(1, text)], "doc_id long, text string"), ratios=model).first()["text"]
+    for a, _, e in sorted([*want, *((a, 3, e) for a, e in random)], reverse=True):
+        text = text[:a] + "[SECRET]" + text[e:]
+    assert out == text
+
+
+def test_added_spans_against_brute_force(spark, model, documents):
+    """The Markov models' spans by a plain walk over each token."""
+    texts = [*TEXTS, *(t for _, t in documents[1] if t and len(t) < 20_000)]
+
+    def added(text):
+        out = []
+        for m in re.finditer(ss.TOKEN, text or "", re.A):
+            at = [ss.ALPHABET.index(c) for c in m[0]]
+            ratio = sum(model[a * ss.SIZE + b] for a, b in zip(at, at[1:]))
+            if ratio >= ss.LEAST_TOTAL and ratio >= ss.LEAST_MEAN * len(m[0]) and not any(a < m.end() and m.start() < e for a, _, e in base(text)):
+                out.append((m.start(), m.end()))
+        return out
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in ss.find_secrets(frame, model).collect():
+        assert [(s["start"], s["end"]) for s in r["added"]] == added(texts[r["doc_id"]])
+
+
+def test_time_grows_with_length(spark, model):
+    """A token of ten million characters, and a text with 100,000 matches."""
+    import time
+
+    for text in ("a1" * 5_000_000, "0123456789abcdef01234567 " * 100_000):
+        began = time.perf_counter()
+        row = ss.report(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+        assert row["n_hex"] == (1 if text[0] == "a" else 100_000) and time.perf_counter() - began < 60
+
+
+def test_clashing_names(spark, model):
+    names = ["added", "base", "_random", "_spans", "_text", "row", "random", "spans", "n.x"]
+    frame = spark.createDataFrame([(3, TEXTS[3], *range(9))], ["doc_id", "text", *names])
+    kept = ss.redact(frame, ratios=model)
+    assert kept.columns == frame.columns and tuple(kept.first())[2:] == tuple(range(9))
+    found = ss.find_secrets(frame, model)
+    assert sorted(found.columns) == sorted(frame.columns) and len(found.first()["base"]) == 2
+    assert ss.report(frame, model).count() == 1
+
+
 def test_no_rows(no_documents):
     assert ss.report(no_documents).count() == 0
     assert ss.redact(no_documents).columns == no_documents.columns
