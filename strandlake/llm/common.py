@@ -17,11 +17,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandlake.session import removed as drop_scratch
+from strandlake.session import removed as drop_scratch  # noqa: F401  for the operators
 from strandlake.session import scratch_root
-from strandlake.session import written as materialize
-
-__all__ = ["drop_scratch", "materialize", "scratch_root"]
+from strandlake.session import written as materialize  # noqa: F401
 
 #: Words kept by a worker's hash cache before it starts over, and the longest of them; bounds its memory to about 35 MB.
 CACHE_WORDS = 200_000

@@ -153,7 +153,7 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageMode
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     labels = labelled.select("doc_id", "lang").where("doc_id is not null")
     ids = bounded_ids(labels, "doc_id", "lang", per_language, most_rows=MOST_ROWS).select("doc_id").distinct()
-    chosen = labelled.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    chosen = labelled.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id")
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
