@@ -55,3 +55,35 @@ def test_pipeline(spark):
     assert len({r["component_id"] for r in components}) > 0.97 * len(components)  # secrets may have told copies apart
     assert report(docs).agg({"n_hex": "sum", "n_access": "sum"}).first()[0] == 0
     assert cp.run(spark, SF).agg({"length": "max"}).first()[0] <= 4096
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Each stage on nulls, empty and repeated rows, equal ids with unlike texts, columns of any names; and on no rows."""
+    import random
+
+    import corpus_pipeline as cp
+    from tests.llm.conftest import prose
+
+    rng = random.Random(3)
+    clean, copied = [prose(rng, 60) for _ in range(6)], prose(rng, 60)
+    item = " ".join(f"b{i}" for i in range(30))
+    rows = [(1, clean[0]), (1, clean[1]), (2, copied), (3, copied + " x"), (None, copied), (None, clean[2]), (4, None), (4, None), (5, ""), (6, clean[3] + " " + item), (6, clean[4]), (7, "token = 24be64439e3e49cf46b2d7c90f3602a3")]
+    names = "doc_id long, text string, lang string, source string, n_chars long, base int, _found int, score int, cls int, spans int"
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t or ""), 1, 2, 3, 4, 5) for d, t in rows], names).repartition(2)
+    folder = str(tmp_path)
+    spark.createDataFrame([(900 + i, i % 2) for i in range(4)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    stages = dict(cp.STAGES)
+    texts = lambda f: sorted(((r["doc_id"], r["text"]) for r in f.collect()), key=repr)
+    want = {
+        "toxicity": rows,  # no labelled row is in the table
+        "ngram_jaccard": [r for r in rows if r not in ((3, copied + " x"), (None, copied))],
+        "decontamination": [r for r in rows if item not in (r[1] or "")],
+        "secrets": [*rows[:-1], (7, "[SECRET]")],
+    }
+    for name, kept in want.items():
+        found = stages[name](spark, frame, folder)
+        assert found.columns == frame.columns and texts(found) == sorted(kept, key=repr), name
+        assert stages[name](spark, frame.limit(0), folder).count() == 0
+    packed = stages["packing"](spark, frame, folder).collect()
+    assert sum(r["start"] == 0 for r in packed) == len(rows) and stages["packing"](spark, frame.limit(0), folder).count() == 0
