@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once, for functions over arrays that use it at each step."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``most_rows`` rows, which is checked; else as it is."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.seq import FORWARD_MOTIFS, REVERSE_MOTIFS, global_score, revcomp
-from strandlake.operators.dataflow import union_all
+from strandlake.operators.dataflow import let, union_all
 from strandlake.operators.intervals import stretches
 from strandlake.session import written
 
@@ -22,23 +22,34 @@ def suffix_match(query: Column, window: Column, least: int = 8, most: int = 5) -
     them. Null if there are none or more than ``most``, or if the first is the very first
     place that has the room.
     """
+    return let(query, lambda q: let(window, lambda w: _suffix_match(q, w, least, most)))
+
+
+def _suffix_match(query: Column, window: Column, least: int, most: int) -> Column:
     room = F.length(query) - least
-    tail = F.substring(query, room + 1, F.lit(least))
-    last = F.length(window) - least
-    here = lambda p: F.substring(window, p + 1, F.lit(least)) == tail
-    found = F.when((room >= 0) & (last >= room) & window.contains(tail), F.filter(F.sequence(room, last), here))
+
+    def places(tail):
+        """Up to one place more than ``most``, each looked for from behind the one before."""
+        def look(s, _):
+            at = F.call_function("locate", tail, window, s["next"] + 1)
+            return F.when(at > 0, F.struct(at.alias("next"), F.concat(s["found"], F.array(at - 1)).alias("found"))).otherwise(F.struct(F.length(window).alias("next"), s["found"].alias("found")))
+
+        begin = F.struct(room.alias("next"), F.array().cast("array<int>").alias("found"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(most + 1)), begin, look, lambda s: s["found"])
 
     def longest(p):
         """As many bases as agree when both are read backwards from the end of the tail."""
         sizes = F.sequence(F.lit(1), F.least(F.length(query), p + least))
         backward = lambda text, end, k: F.substring(text, end - k + 1, F.lit(1))
         differs = F.array_position(F.transform(sizes, lambda k: backward(query, F.length(query), k) == backward(window, p + least, k)), F.lit(False)).cast("int")
-        size = F.when(differs == 0, F.size(sizes)).otherwise(differs - 1)
-        return F.struct((-size).alias("less"), (p + least - size).alias("offset"))
+        return let(differs, lambda d: let(F.when(d == 0, F.size(sizes)).otherwise(d - 1), lambda size: F.struct((-size).alias("less"), (p + least - size).alias("offset"))))
+
+    def best(found):
+        fine = (F.size(found) > 0) & (F.size(found) <= most) & (F.get(found, 0) > room)
+        return F.when(fine, let(F.array_min(F.transform(found, longest)), lambda x: F.struct(x["offset"].alias("offset"), (-x["less"]).alias("size"))))
 
-    best = F.array_min(F.transform(found, longest))
-    fine = (F.size(found) > 0) & (F.size(found) <= most) & (F.get(found, 0) > room)
-    return F.when(fine, F.struct(best["offset"].alias("offset"), (-best["less"]).alias("size")))
+    tail = F.substring(query, room + 1, F.lit(least))
+    return F.when((room >= 0) & (F.length(window) - least >= room), let(let(tail, places), best))
 
 
 def _motif(first: Column, last: Column, allowed) -> Column:
@@ -144,12 +155,15 @@ def search_junctions(
         return F.struct(s.alias("s"), e.alias("e"), motif(left(s, s + 2), right(e - 2, e)).alias("back"))
 
     fits = lambda x: x["back"].isNotNull() & (x["e"] - x["s"]).between(min_intron, max_intron)
-    plain = F.filter(F.transform(F.sequence("s0", "s1"), lambda s: intron(s, s + c("missing"))), fits)
+    starts = F.filter(F.sequence("s0", "s1"), lambda s: left(s, s + 2).isin(*sorted({m[0] for m in every})))
+    stops = F.filter(F.sequence("e0", "e1"), lambda e: right(e - 2, e).isin(*sorted({m[1] for m in every})))
+    plain = F.filter(F.transform("starts", lambda s: intron(s, s + c("missing"))), fits)
     scored = F.transform(plain, lambda x: F.struct(global_score(c("part"), flanked(x["s"], F.lit(""), x["e"])).alias("score"), x["back"].alias("back"), x["s"].alias("s"), x["e"].alias("e")))
-    found = gaps.withColumn("plain", scored)
+    found = gaps.withColumn("starts", starts).withColumn("plain", scored)
     if window:
-        longer = lambda s: F.filter(F.transform(F.sequence(F.greatest(c("e0"), s + c("missing") + min_exon), F.greatest(c("e1"), s + c("missing") + min_exon)), lambda e: intron(s, e)), lambda x: fits(x) & (x["e"] <= c("e1")))
-        found = found.withColumn("longer", F.flatten(F.transform(F.sequence("s0", "s1"), longer)))
+        behind = lambda s, stops: F.transform(F.filter(stops, lambda e: e >= s + c("missing") + min_exon), lambda e: intron(s, e))
+        longer = let(stops, lambda stops: F.flatten(F.transform("starts", lambda s: F.filter(behind(s, stops), fits))))
+        found = found.withColumn("longer", longer)
     found = written(found, "candidates")
     candidates = found.select(*keys, "rname", "gap", F.explode("plain").alias("x"), F.length("read").alias("n")).select(*keys, "rname", "gap", "n", "x.*")
     if window:
