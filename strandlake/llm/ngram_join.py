@@ -1,9 +1,10 @@
 """N-gram Jaccard join: near duplicates by shared word shingles, exactly, and their components.
 
 1. Sets. A document's set of 64-bit shingle hashes gets a 64-bit key; documents with equal
-   sets are one class. The shingles' frequencies are counted in a table of fixed size, by the
-   top bits of the hash. (Hash, then: two of n classes are taken for one with a chance of
-   about n*n/2^65.)
+   sets are one class. The shingles' frequencies are counted: those of the heavy ones, of
+   which there is a fixed number at most, one by one, and those of the others in a table of
+   fixed size, by the top bits of the hash. (Hash, then: two of n classes are taken for one
+   with a chance of about n*n/2^65.)
 2. First prefixes. A class's shingles are ordered by that count, in powers of two, and the
    hash. Sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 of each,
    and k of the first n - ceil(t n) + k; with k about n/5 these are shuffled by shingle, once
@@ -22,27 +23,37 @@
    near it but not linked to it is compared with it in blocks, not in pairs of rows; no link
    between components is lost.
 
-Nothing proportional to the corpus reaches the driver: it gets the count table and a bitmap,
-both of fixed size.
+A shingle, class or component may hold a third of all rows. Rows of heavy shingles are dealt
+over several tasks; statistics by key are aggregated and joined back, with one row per key on
+one side, so that the other can be split. Nothing proportional to the corpus reaches the driver: it gets the counts, a bitmap and
+heavy keys, all of fixed size at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strandlake.llm.common import WordHash, materialize, ngram_hashes, read_table, tidy, white_words
+from strandlake.llm.common import WordHash, drop_scratch, free_name, materialize, ngram_hashes, read_table, tidy, white_words
 from strandlake.llm.components import components
+from strandlake.llm.skew import grouped
 from strandlake.operators.dataflow import small
 from strandlake.session import shipped
 
 SHINGLE, PERCENT = 5, 75
 COUNT_BITS = 18
+#: Shingles that a task counts one by one at most; one with more than twice this part of all is found for sure.
+COUNTED = 4096
+#: A shingle is heavy if it is more than this part of all. Its rows are dealt over a task for each such part, up to MOST_PARTS.
+HEAVY_SHINGLES = 20_000
+MOST_PARTS = 1024
 #: What is known of a class under a shingle.
 FIELDS = ("cls", "n", "size", "u", "pos")
 BITMAP_BITS = 23
@@ -99,17 +110,40 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return int((large[at] == small).sum()) >= need
 
 
-def _bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
-    return np.bincount((np.concatenate(sets) >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=1 << COUNT_BITS)
+class _Counts:
+    """Counts of shingles: by bucket, exactly; and one by one for the frequent ones, too low by the same part of all at most.
+
+    Of more than ``COUNTED`` shingles those with the highest counts stay, less the highest
+    count that goes (Misra and Gries).
+    """
+
+    def __init__(self):
+        self.buckets = np.zeros(1 << COUNT_BITS, np.int64)
+        self.shingles, self.hits = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, sets: list[np.ndarray]) -> None:
+        values, n = np.unique(np.concatenate(sets), return_counts=True)
+        self.buckets += np.bincount((values >> np.uint64(64 - COUNT_BITS)).astype(np.int64), weights=n, minlength=1 << COUNT_BITS).astype(np.int64)
+        often = n > 1
+        both = np.concatenate([self.shingles, values[often]])
+        self.shingles, where = np.unique(both, return_inverse=True)
+        self.hits = np.bincount(where, weights=np.concatenate([self.hits, n[often]]), minlength=len(self.shingles)).astype(np.int64)
+        if len(self.hits) > COUNTED:
+            self.hits = self.hits - np.partition(self.hits, -COUNTED - 1)[-COUNTED - 1]
+            stay = self.hits > 0
+            self.shingles, self.hits = self.shingles[stay], self.hits[stay]
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """Per document its set's size and class; and per task the counts of the shingles' buckets."""
+    """Per document its set's size and class; and per task the counts of the shingles' buckets and of frequent shingles."""
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHash()
-        hits = np.zeros(1 << COUNT_BITS, np.int64)
-        names = ["doc_id", "n_shingles", "cls", "bucket", "hits"]
+        known, counts = WordHash(), _Counts()
+        names = ["doc_id", "n_shingles", "cls", "bucket", "shingle", "hits"]
+
+        def no(k, kind=None):
+            return pa.nulls(k, kind or pa.int64())
+
         for batch in batches:
             size, key, held, n_held = [], [], [], 0
             for text in batch.column(1):
@@ -118,39 +152,80 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 key.append(class_key(s) if len(s) else None)
                 held.append(s)
                 n_held += len(s)
-                if n_held > 1_000_000:
-                    hits += _bucket_counts(held)
+                if n_held > 250_000:
+                    counts.add(held)
                     held, n_held = [], 0
             if held:
-                hits += _bucket_counts(held)
+                counts.add(held)
             k = len(size)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())], names=names)
-        used = np.flatnonzero(hits)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(key, pa.int64()), no(k, pa.int32()), no(k), no(k)], names=names)
+        used = np.flatnonzero(counts.buckets)
         for at in range(0, len(used), 50_000):
             u = used[at : at + 50_000]
             k = len(u)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(u.astype(np.int32)), pa.array(hits[u])], names=names)
+            yield pa.RecordBatch.from_arrays([no(k), no(k), no(k), pa.array(u.astype(np.int32)), no(k), pa.array(counts.buckets[u])], names=names)
+        k = len(counts.hits)
+        yield pa.RecordBatch.from_arrays([no(k), no(k), no(k), no(k, pa.int32()), pa.array(counts.shingles.view(np.int64)), pa.array(counts.hits)], names=names)
+
+    return shipped(docs).mapInArrow(run, "doc_id long, n_shingles long, cls long, bucket int, shingle long, hits long")
+
 
-    return shipped(docs).mapInArrow(run, "doc_id long, n_shingles long, cls long, bucket int, hits long")
+@dataclass
+class _Order:
+    """What is known of the shingles' frequencies: a level by bucket, and the heavy shingles (ascending) with their counts."""
 
+    level: np.ndarray
+    heavy: np.ndarray
+    hits: np.ndarray
+    parts: np.ndarray
 
-def _prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """The first prefix of each class, once per task: shingles by their bucket's count in powers of two, then by hash."""
+    def places(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each shingle its place among the heavy ones, and whether it is one."""
+        if not len(self.heavy):
+            return np.zeros(len(s), np.int64), np.zeros(len(s), bool)
+        at = np.minimum(np.searchsorted(self.heavy, s), len(self.heavy) - 1)
+        return at, self.heavy[at] == s
+
+
+def _order(counted: DataFrame) -> _Order:
+    """From the rows of ``_sets`` that count: 2^18 buckets, and ``HEAVY_SHINGLES`` shingles at most."""
+    table = counted.where("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).toArrow()
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    counts[table.column("bucket").to_numpy()] = table.column("hits").to_numpy()
+    most = max(1, int(counts.sum()) // HEAVY_SHINGLES)
+    table = counted.where("shingle is not null").groupBy("shingle").agg(F.sum("hits").alias("hits")).where(F.col("hits") > most).toArrow()
+    heavy, hits = table.column("shingle").to_numpy().view(np.uint64), table.column("hits").to_numpy()
+    by_hash = np.argsort(heavy)
+    heavy, hits = heavy[by_hash], hits[by_hash]
+    np.subtract.at(counts, (heavy >> np.uint64(64 - COUNT_BITS)).astype(np.int64), hits)
     level = np.zeros(len(counts), np.uint8)
     usual = counts.mean() + 6 * np.sqrt(counts.mean()) + 1
     level[counts > usual] = np.log2(counts[counts > usual] / usual).astype(np.uint8) + 1
-    shared = docs.sparkSession.sparkContext.broadcast(level)  # 2^18 bytes
+    return _Order(level, heavy, hits, np.minimum(-(-hits // most), MOST_PARTS))
+
+
+def _prefixes(docs: DataFrame, order: _Order, n: int, percent: int) -> DataFrame:
+    """The first prefix of each class, once per task: light shingles by their bucket's level, heavy ones by count, then by hash.
+
+    ``part`` deals the rows of a heavy shingle, by class; it is -1 for the others.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(order)  # 2^18 bytes and 24 for each heavy shingle
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen, level = WordHash(), set(), shared.value
+        known, seen, order = WordHash(), set(), shared.value
+        heavy_level = 64 + np.log2(np.maximum(order.hits, 1)).astype(np.int64)
         for batch in batches:
             parts, keys, sizes = [], [], []
 
             def flush():
                 key = np.repeat(np.array(keys, np.int64), [len(p) for p in parts])
                 size = np.repeat(np.array(sizes, np.int32), [len(p) for p in parts])
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(key), pa.array(size)], names=["h", "cls", "n"])
+                h = np.concatenate(parts)
+                at, heavy = order.places(h)
+                part = np.full(len(h), -1, np.int32)
+                part[heavy] = (key[heavy] >> 20) % order.parts[at[heavy]]
+                return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(part), pa.array(key), pa.array(size)], names=["h", "part", "cls", "n"])
 
             held = 0
             for text in batch.column(0):
@@ -162,27 +237,31 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> Data
                     continue
                 seen.add(key)
                 p = prefix_length(len(s), percent)
-                order = np.argsort(level[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)], kind="stable")[:p]
-                parts.append(s[order])
+                level = order.level[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)].astype(np.int64)
+                at, heavy = order.places(s)
+                level[heavy] = heavy_level[at[heavy]]
+                parts.append(s[np.argsort(level, kind="stable")[:p]])
                 keys.append(key)
                 sizes.append(len(s))
                 held += p
-                if held > 500_000:
+                if held > 200_000:
                     yield flush()
                     parts, keys, sizes, held = [], [], [], 0
             if parts:
                 yield flush()
 
-    return shipped(docs).select("text").mapInArrow(run, "h long, cls long, n int")
+    return shipped(docs).select("text").mapInArrow(run, "h long, part int, cls long, n int")
 
 
-def _shared(prefixes: DataFrame) -> DataFrame:
+def _shared(prefixes: DataFrame, order: _Order) -> DataFrame:
     """Rows of shingles in the prefixes of two classes or more, with how many (beyond 2^20: 2^20).
 
     Rows of one shingle stream through in order; up to 2^20 of them are held back until their
-    number is known.
+    number is known. Those of a heavy shingle come in several tasks; all pass, with a number
+    above the others' made from its count, the same in all of them.
     """
     most = 1 << 20
+    shared = prefixes.sparkSession.sparkContext.broadcast(order)
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,13 +277,18 @@ def _shared(prefixes: DataFrame) -> DataFrame:
             return out(np.full(len(cls), now, np.int64), cls, n, np.full(len(cls), df, np.int32))
 
         for batch in batches:
-            h, cls, n = (batch.column(i).to_numpy() for i in range(3))
+            h, part, cls, n = (batch.column(i).to_numpy() for i in range(4))
             keep = np.ones(len(h), bool)
             keep[1:] = (h[1:] != h[:-1]) | (cls[1:] != cls[:-1])
             if len(h):
                 keep[0] = last is None or last != (h[0], cls[0])
                 last = (h[-1], cls[-1])
-            h, cls, n = h[keep], cls[keep], n[keep]
+            h, part, cls, n = h[keep], part[keep], cls[keep], n[keep]
+            dealt = part >= 0
+            if dealt.any():
+                hits = shared.value.hits[shared.value.places(h[dealt].view(np.uint64))[0]]
+                yield out(h[dealt], cls[dealt], n[dealt], np.minimum(most + hits, 1 << 30).astype(np.int32))
+                h, cls, n = h[~dealt], cls[~dealt], n[~dealt]
             if not len(h):
                 continue
             if now is not None:
@@ -230,8 +314,10 @@ def _shared(prefixes: DataFrame) -> DataFrame:
         if now is not None and not heavy and held > 1:
             yield settle(held)
 
-    ordered = prefixes.repartition("h").sortWithinPartitions("h", "cls")
+    ordered = prefixes.repartition("h", "part").sortWithinPartitions("h", "cls")
     return shipped(ordered).mapInArrow(run, "h long, cls long, n int, df int")
+
+
 def _least_need(a_low, b_low, a_high, b_high, percent: int):
     """At least so many shingles of their first prefixes are shared by linked sets a and b with sizes in these ranges."""
     up, down = percent / (100 + percent), percent / 100 - 0.2 - percent / (100 + percent)
@@ -256,11 +342,14 @@ def _second_prefixes(shared: DataFrame, percent: int) -> DataFrame:
     )
     length = F.col("size") - slack(least_other) + 1
     kept = placed.where(F.col("_r") <= length - F.col("u")).select("h", "cls", "n", "size", "u", (F.col("u") + F.col("_r") - 1).cast("int").alias("pos"))
-    under = Window.partitionBy("h")
-    lead = F.first(F.struct(*FIELDS)).over(under.orderBy("n", "cls"))
-    rows = kept.select("h", *FIELDS, lead.alias("lead"), F.count("*").over(under).alias("_m"), F.min("n").over(under).alias("_n0"), F.max("n").over(under).alias("_n1"))
+    kept = materialize(kept, "second-prefixes")
+    rows = grouped(kept, "h", "_m > 1", _lead=F.min(F.struct("n", "cls", "size", "u", "pos")), _m=F.count("*"), _n0=F.min("n"), _n1=F.max("n"))
     low, high = F.greatest("_n0", n * percent / 100), F.least("_n1", n * 100 / percent)
-    return rows.where((F.col("_m") > 1) & (F.col("size") - F.col("u") >= _least_need(n, low, n, high, percent))).select("h", *FIELDS, "lead")
+    lead = F.struct(*(F.col(f"_lead.{f}").alias(f) for f in FIELDS)).alias("lead")
+    found = rows.where(F.col("size") - F.col("u") >= _least_need(n, low, n, high, percent)).select("h", *FIELDS, lead)
+    found = materialize(found, "members")
+    drop_scratch(kept)
+    return found
 
 
 def _may_link_pairs(rows: DataFrame, percent: int) -> DataFrame:
@@ -275,19 +364,20 @@ def _star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     The one is chosen by a hash that is another in each turn and the same under all shingles,
     so few classes are chosen in a group of copies.
     """
-    w = Window.partitionBy("h").orderBy(F.col("comp_size").desc(), F.xxhash64(F.lit(turn), "cls"), F.col("cls"))
-    rows = members.select(F.first(F.struct(*FIELDS, "comp")).over(w).alias("a"), F.struct(*FIELDS, "comp").alias("b"))
+    first = F.min(F.struct((-F.col("comp_size")).alias("_size"), F.xxhash64(F.lit(turn), "cls").alias("_by"), *FIELDS, "comp"))
+    rows = grouped(members, "h", a=first).select("a", F.struct(*FIELDS, "comp").alias("b"))
     return _may_link_pairs(rows.where("a.comp <> b.comp"), percent)
 
 
 def _blocks(members: DataFrame) -> DataFrame:
     """``cls, comp, block``: about BLOCK classes of one component in a block; those alone by their commonest shingle."""
-    counted = members.withColumn("_c", F.count("*").over(Window.partitionBy("h")))
+    counted = grouped(members, "h", _c=F.count("*"))
     each = counted.groupBy("cls").agg(F.first("comp").alias("comp"), F.first("comp_size").alias("comp_size"), F.max(F.struct("_c", "h"))["h"].alias("_h"))
     each = each.withColumn("_alone", F.col("comp_size") == 1).withColumn("_cluster", F.when(F.col("_alone"), F.col("_h")).otherwise(F.col("comp")))
-    sizes = each.groupBy("_alone", "_cluster").agg(F.count("*").alias("_n"))
     part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("_n") / BLOCK))
-    return each.join(sizes, ["_alone", "_cluster"]).select("cls", "comp", F.xxhash64("_alone", "_cluster", part).alias("block"))
+    each = each.select("cls", "comp", F.xxhash64("_alone", "_cluster").alias("_in"))
+    sizes = each.groupBy("_in").agg(F.count("*").alias("_n"))
+    return each.join(sizes, "_in").select("cls", "comp", F.xxhash64("_in", part).alias("block"))
 
 
 def _block_pairs(members: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
@@ -310,13 +400,13 @@ def _block_pairs(members: DataFrame, blocks: DataFrame, percent: int) -> DataFra
 def _block_links(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Links between the classes of paired blocks, for each class of one at most one to each component in the other.
 
-    A block's sets are put into one sorted array; a class of the other block is counted
-    against all of them at once.
+    A pair of blocks is one task's work: the sets of one are put into one sorted array, and
+    a class of the other is counted against all of them at once.
     """
+    named = pairs.withColumn("pair", F.xxhash64("a", "b"))
     rows = small(blocks).join(texts, "cls").select("block", "cls", "comp", "text")
-    held = small(pairs.select(F.col("b").alias("block")).distinct()).join(rows, "block").withColumn("probe", F.lit(False))
-    probes = small(pairs.select(F.col("a").alias("block"), "b")).join(rows, "block").select(F.col("b").alias("block"), "cls", "comp", "text", F.lit(True).alias("probe"))
-    ordered = held.unionByName(probes).repartition("block").sortWithinPartitions("block", "probe")
+    side = lambda x, probe: small(named.select("pair", F.col(x).alias("block"), F.lit(probe).alias("probe"))).join(rows, "block").select("pair", "cls", "comp", "text", "probe")
+    ordered = side("b", False).unionByName(side("a", True)).repartition("pair").sortWithinPartitions("pair", "probe")
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,9 +414,9 @@ def _block_links(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, n: int,
         now, cls, comps, sets, index = None, [], [], [], None
         for batch in batches:
             out = []
-            for block, key, comp, text, probe in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2)), batch.column(3), batch.column(4).to_pylist()):
-                if block != now:
-                    now, cls, comps, sets, index = block, [], [], [], None
+            for pair, key, comp, text, probe in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2)), batch.column(3), batch.column(4).to_pylist()):
+                if pair != now:
+                    now, cls, comps, sets, index = pair, [], [], [], None
                 own = shingle_set(text.as_py(), known, n)
                 if not probe:
                     cls.append(key)
@@ -348,7 +438,7 @@ def _block_links(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, n: int,
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
 
-    return shipped(ordered).select("block", "cls", "comp", "text", "probe").mapInArrow(run, "a long, b long")
+    return shipped(ordered).select("pair", "cls", "comp", "text", "probe").mapInArrow(run, "a long, b long")
 
 
 def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -359,8 +449,8 @@ def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     named = members.select("h", *FIELDS).join(sized, "cls", "left").select(
         "h", *FIELDS, F.coalesce("label", "cls").alias("comp"), F.coalesce("_n", F.lit(1).cast("bigint")).alias("comp_size")
     )
-    w = Window.partitionBy("h")
-    return named.withColumn("_lo", F.min("comp").over(w)).withColumn("_hi", F.max("comp").over(w)).where("_lo <> _hi").drop("_lo", "_hi")
+    named = materialize(named, "named")
+    return grouped(named, "h", "_lo <> _hi", _lo=F.min("comp"), _hi=F.max("comp")).drop("_lo", "_hi")
 
 
 def _may_link(percent: int) -> Column:
@@ -399,21 +489,30 @@ def _hits(bits: np.ndarray, place: pa.Array) -> np.ndarray:
 
 
 def _placed(docs: DataFrame) -> DataFrame:
-    return shipped(docs).select("*", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << BITMAP_BITS)).alias("_place"))
+    """``docs`` with the place of their id in a bitmap as the last column."""
+    name = free_name(docs.columns, "_place")
+    return shipped(docs).select("*", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << BITMAP_BITS)).alias(name))
 
 
-def _by_bitmap(docs: DataFrame, bits: np.ndarray, hit: bool) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is in a bitmap, or those whose isn't."""
+def _by_bitmap(docs: DataFrame, bits: np.ndarray, hit: bool, key_name: str | None = None, n: int = SHINGLE) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is in a bitmap, or those whose isn't; with their class in a column of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
+    at = docs.columns.index("text")
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHash()
         for batch in batches:
             keep = _hits(shared.value, batch.column(batch.num_columns - 1)) == hit
-            if keep.any():
-                yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
+            if not keep.any():
+                continue
+            kept = batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
+            if key_name:
+                sets = (shingle_set(t.as_py(), known, n) for t in kept.column(at))
+                kept = kept.append_column(key_name, pa.array([class_key(s) if len(s) else None for s in sets], pa.int64()))
+            yield kept
 
-    return _placed(docs).mapInArrow(run, docs.schema)
+    return _placed(docs).mapInArrow(run, T.StructType([*docs.schema.fields, *([T.StructField(key_name, T.LongType())] if key_name else [])]))
 
 
 def _class_texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -467,14 +566,12 @@ def near_duplicate_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PER
     """(documents with size and class, classes with their least ``doc_id``, ``node, label`` of linked classes)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     both = materialize(_sets(docs, n), "sets")
-    sets = both.where("bucket is null").select("doc_id", "n_shingles", "cls")
-    counted = both.where("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).toArrow()  # 2^18 rows at most
-    counts = np.zeros(1 << COUNT_BITS, np.int64)
-    counts[counted.column("bucket").to_numpy()] = counted.column("hits").to_numpy()
+    sets = both.where("hits is null").select("doc_id", "n_shingles", "cls")
+    order = _order(both.where("hits is not null"))
     classes = materialize(sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "classes")
 
-    shared = _shared(_prefixes(docs, counts, n, percent))
-    members = materialize(_second_prefixes(shared, percent), "members")
+    shared = _shared(_prefixes(docs, order, n, percent), order)
+    members = _second_prefixes(shared, percent)
     wanted = materialize(members.select("cls").distinct().join(classes, "cls"), "wanted")
     texts = materialize(_class_texts(docs, wanted, n), "class-texts")
     now = members
@@ -512,30 +609,44 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     table gives no rows.
     """
     sets, classes, labels = near_duplicate_classes(docs, n, percent)
-    named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "doc_id", F.coalesce("label", "cls").alias("label"))
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    by_class = materialize(named.join(least, "label").select("cls", "component_id"), "class-components")
-    return sets.join(by_class, "cls", "left").select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = materialize(_labelled(classes, labels), "named")
+    by_class = grouped(named, "label", component_id=F.min("doc_id")).select("cls", "component_id")
+    by_class = materialize(by_class, "class-components")
+    out = sets.join(by_class, "cls").select("doc_id", "n_shingles", "component_id")
+    return out.unionByName(sets.where("cls is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``classes`` with ``label``: the component's, or the class itself."""
+    return classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each component, that with the smallest ``doc_id``; all columns are kept.
 
-    Of rows with equal ids one stays. Rows without an id stay unless they are linked to a row
-    that has one.
+    Every row is judged by its own text: rows with equal ids and texts that aren't linked all
+    stay, and a row without an id goes if it is linked to one that has an id. Of rows with
+    equal ids and equal shingles any one stays. Texts without words are linked with nothing
+    and stay. An empty table gives none; names of other columns don't matter.
     """
-    found = materialize(jaccard_components(docs, n, percent), "components")
-    counted = found.agg(F.count("doc_id").alias("rows"), F.count_distinct("doc_id").alias("ids"), F.count_if(F.col("doc_id").isNull() & F.col("component_id").isNotNull()).alias("lost")).first()
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    bits = _bitmap(gone)  # most texts that stay are told by it, and needn't be shuffled
-    asked, gone = _by_bitmap(docs, bits, True), gone.withColumnRenamed("doc_id", "_gone")
-    out = _by_bitmap(docs, bits, False).unionByName(asked.join(gone, asked["doc_id"] == gone["_gone"], "left_anti"))
-    if counted["lost"]:  # rows without an id, told by their text
-        known = docs.where("doc_id is not null").select(F.col("text").alias("_text")).distinct()
-        bare = out.where("doc_id is null").join(known, F.col("text") == F.col("_text"), "left_anti")
-        out = out.where("doc_id is not null").unionByName(bare)
-    if counted["rows"] != counted["ids"]:
-        out = out.where("doc_id is null").unionByName(out.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    sets, _, labels = near_duplicate_classes(docs, n, percent)
+    pairs = sets.where("cls is not null").groupBy("cls", "doc_id").agg(F.count("*").alias("rows"))
+    pairs = materialize(_labelled(pairs, labels), "pairs")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("_bare"), "doc_id", "cls"))
+    judged = grouped(pairs, "label", "_rows > 1", _rows=F.sum("rows"), _best=best)
+    stays = F.col("_best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_best.cls") == F.col("cls"))
+    judged = judged.select("cls", "doc_id", "rows", stays.alias("stays")).where("not stays or rows > 1")
+    names = {x: free_name(docs.columns, x) for x in ("_class", "_of", "_id", "_stays")}
+    judged = judged.select(F.col("cls").alias(names["_of"]), F.col("doc_id").alias(names["_id"]), F.col("stays").alias(names["_stays"]))
+    judged = materialize(judged, "judged")
+    bits = _bitmap(judged.select(F.col(names["_id"]).alias("doc_id")))  # most texts that stay are told by it, and needn't be shuffled
+    asked = _by_bitmap(docs, bits, True, names["_class"], n)
+    same = (F.col(names["_class"]) == F.col(names["_of"])) & F.col("doc_id").cast("long").eqNullSafe(F.col(names["_id"]))
+    out = _by_bitmap(docs, bits, False).unionByName(asked.join(small(judged), same, "left_anti").select(*docs.columns))
+    once = judged.where(names["_stays"])
+    if once.take(1):
+        repeated = asked.join(small(once), same, "left_semi").dropDuplicates(["doc_id", names["_class"]])
+        out = out.unionByName(repeated.select(*docs.columns))
     return out
 
 
