@@ -90,10 +90,13 @@ def multiplicity(reads: DataFrame) -> DataFrame:
 def seed_hits(readlets: DataFrame, kmers: DataFrame, max_hits: int = 30) -> DataFrame:
     """Exact matches of readlet sequences to reference k-mers, none for k-mers with more than ``max_hits``.
 
-    The limit is the aligner's rule for repeats, applied before the join.
+    The limit is the aligner's rule for repeats, applied before the join. A reference has many
+    more k-mers than the chunks they are cut from let Spark's estimate tell, so neither side is
+    broadcast: both are merged by k-mer.
     """
-    rare = kmers.join(kmers.groupBy("kmer").count().where(F.col("count") <= max_hits).select("kmer"), "kmer", "left_semi")
-    return readlets.join(rare, "kmer")
+    few = kmers.groupBy("kmer").count().where(F.col("count") <= max_hits).select("kmer")
+    rare = kmers.join(few.hint("merge"), "kmer", "left_semi")
+    return readlets.join(rare.hint("merge"), "kmer")
 
 
 def tie_coverage(ties: DataFrame, coverage: DataFrame, keys: list[str]) -> DataFrame:

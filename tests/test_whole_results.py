@@ -20,3 +20,9 @@ def same_as_sql(spark, folder, name, **tables):
 def test_cojunction_runs_keeps_every_run_of_a_read(spark, tmp_path):
     lines = "select 1 as l_orderkey, p as l_partkey, 0 as l_suppkey, 1 as l_linenumber, 'A' as l_returnflag from range(13) t(p)"
     assert len(same_as_sql(spark, tmp_path, "cojunction_runs", lineitem=lines)) > 300
+
+
+def test_seed_join_sends_no_kmers_to_the_driver(spark, tmp_path):
+    tables = {"orders": "select o_orderkey, o_orderkey % 7 as o_custkey from range(40) t(o_orderkey)", "part": "select p_partkey from range(300) t(p_partkey)"}
+    same_as_sql(spark, tmp_path, "seed_join", **tables)
+    assert "Broadcast" not in QUERIES["seed_join"](spark, str(tmp_path))._jdf.queryExecution().toString()
