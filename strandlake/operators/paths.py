@@ -1,23 +1,29 @@
-"""Paths through graphs of introns, found by joins that add one edge at a time.
+"""Paths through graphs of introns.
 
-Steps end by the data: a path's bases are bounded by a span, or its introns ascend. What a
+Runs that a read piece can lie across are grown inside cells of a contig, in ``runs``, so what
+is shuffled are introns and never runs. Other paths, and runs of cells that don't have all they
+need, are found by joins that add one edge at a time. Steps end by the data: a path's bases are bounded by a span, or its introns ascend. What a
 step finds is written to the shared scratch folder, so plans stay short and lost work is
 done again from there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.operators.dataflow import union_all
-from strandlake.operators.intervals import direct_successors
-from strandlake.session import written
+from strandlake.operators.intervals import direct_successors, fragments
+from strandlake.operators.runs import AROUND, CELL, Cell, Rules
+from strandlake.session import shipped, written
 
+NUMBERS = ("left_ext", "right_ext", "left_avail", "right_avail")
 
-def intron_configurations(introns: DataFrame, keys: Sequence[str], size: int = 35, min_overlap: int = 9, edge_span: int = 2, min_edge_span_size: int = 25) -> DataFrame:
+
+def intron_configurations(introns: DataFrame, keys: Sequence[str], size: int = 35, min_overlap: int = 9, edge_span: int = 2, min_edge_span_size: int = 25, columns: Sequence[str] | None = None) -> DataFrame:
     """Runs of neighbouring introns that a read piece of ``size`` bases can lie across, per ``keys`` (start, end_pos).
 
     A run grows along the edges of the intron graph while the exonic bases inside of it are
@@ -26,13 +32,100 @@ def intron_configurations(introns: DataFrame, keys: Sequence[str], size: int = 3
     ``min_edge_span_size`` bases are dropped.
 
     Gives ``starts``, ``ends``, how far a fragment extends to the left and right, and the exonic
-    bases there up to the farthest intron before the run and to the one behind (null without).
+    bases there up to the farthest intron before the run and to the one behind (null without). ``columns``
+    names those wanted, the rows then being distinct in them; starts and ends must be among them.
+
+    Cells need the introns up to ``runs.AROUND`` positions off. Where one needs others, or an intron
+    without a bound is there, joins over all edges give the cell's runs.
+    """
+    keys, wanted = list(keys), [*keys, "starts", "ends", *NUMBERS] if columns is None else list(columns)
+    nodes, cells, rules, outer = _laid_out(introns, keys, size, min_overlap, edge_span, min_edge_span_size, wanted)
+    schema = [f for f in nodes.schema if f.name in wanted and f.name in keys]
+    text = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), "starts array<bigint>", "ends array<bigint>", *(f"{c} bigint" for c in NUMBERS if c in wanted)])
+    seeds, cells = _opened(nodes, cells, keys, outer, rules)
+    found = _in_cells(cells, outer, rules, text).select(*wanted)
+    if seeds is None:
+        return found
+    return found.unionByName(_joined(seeds, nodes.distinct(), keys, size - 1, min_overlap, edge_span, min_edge_span_size).select(*wanted).distinct())
+
+
+def configuration_fragments(introns: DataFrame, chunks: DataFrame, chunk_size: int, keys: Sequence[str], size: int = 35, min_overlap: int = 9, edge_span: int = 2, min_edge_span_size: int = 25) -> DataFrame:
+    """``intervals.fragments`` of all ``intron_configurations`` whatever their keys but rname, each once, on the strand +.
+
+    A cell's part of the reference goes to it, so neither runs nor their bases are shuffled.
     """
-    reach = size - 1
-    nodes = introns.select(*keys, "start", "end_pos").distinct()
+    keys = list(keys)
+    header = ["rname", "strand", "start", "exon_sizes", "intron_sizes", "sequence"]
+    nodes, cells, rules, outer = _laid_out(introns, keys, size, min_overlap, edge_span, min_edge_span_size, ["rname", "starts", "ends", "left_ext", "right_ext"], chunks, chunk_size)
+    seeds, cells = _opened(nodes, cells, keys, outer, rules)
+    made = _in_cells(cells, outer, rules, "rname string, start bigint, exon_sizes array<bigint>, intron_sizes array<bigint>, sequence string")
+    found = made.withColumn("strand", F.lit("+")).select(*header)
+    if seeds is None:
+        return found
+    rest = _joined(seeds, nodes.distinct(), keys, size - 1, min_overlap, edge_span, min_edge_span_size)
+    rest = rest.select("rname", F.lit("+").alias("strand"), "starts", "ends", "left_ext", "right_ext").distinct()
+    return found.unionByName(fragments(rest, chunks, chunk_size))
+
+
+def _laid_out(introns: DataFrame, keys: list[str], size: int, min_overlap: int, edge_span: int, least: int, wanted: list[str], chunks: DataFrame | None = None, chunk_size: int = 0):
+    """The introns, the same in all cells that must know them, the rules, and the keys that cells are made by."""
+    merged = not set(keys) <= set(wanted)
+    outer = [k for k in keys if k in wanted] if merged else keys[:1]
+    inner = [k for k in keys if k not in outer]
+    rules = Rules(size - 1, min_overlap, edge_span, least, tuple(inner), merged, tuple(c for c in NUMBERS if c in wanted), chunk_size)
+    number = lambda c: F.col(c).cast("bigint").alias(c)
+    nodes = written(introns.select(*keys, number("start"), number("end_pos")), "introns")
+    cells = F.explode(F.sequence(F.floor((F.col("start") - AROUND) / CELL), F.floor((F.greatest("start", "end_pos") + AROUND) / CELL))).alias("_cell")
+    placed = nodes.where("start is not null and end_pos is not null").select("*", cells)
+    if chunks is not None:
+        empty = [F.lit(None).cast(nodes.schema[k].dataType).alias(k) for k in inner]
+        first = (F.col("chunk") * chunk_size).cast("bigint")
+        pieces = chunks.select("rname", *empty, first.alias("start"), (first + chunk_size).alias("end_pos"), "bases").where("bases is not null").select("*", cells)
+        placed = placed.withColumn("bases", F.lit(None).cast("string")).unionByName(pieces)
+    return nodes, placed, rules, outer
+
+
+def _opened(nodes: DataFrame, cells: DataFrame, keys: list[str], outer: list[str], rules: Rules) -> tuple[DataFrame | None, DataFrame]:
+    """Introns whose runs need others than their cell has (None where there are none), and the cells without theirs."""
+    def look(table: pa.Table) -> pa.Table:
+        return Cell(table, tuple(outer), rules).open()
+
+    text = ", ".join([*(f"`{k}` {nodes.schema[k].dataType.simpleString()}" for k in [*outer, *rules.inner]), "_cell bigint", "lo bigint", "hi bigint"])
+    asked = written(shipped(cells).groupBy(*outer, "_cell").applyInArrow(look, text), "open-cells")
+    reach = nodes.groupBy(*keys).agg(F.max("start").alias("_last"), F.min("end_pos").alias("_first"))
+    more = asked.where("lo is null and hi is null").select(*outer, "_cell").unionByName(
+        asked.join(reach.hint("merge"), keys).where("_last >= hi or _first < lo").select(*outer, "_cell")).distinct()
+    more = written(more, "open-cells")
+    own = nodes.withColumn("_cell", F.floor(F.col("start") / CELL))
+    if not more.take(1):
+        odd = nodes.where("start is null or end_pos is null")
+        return (odd if odd.take(1) else None), cells
+    on = lambda a: [a[c].eqNullSafe(more[c]) for c in [*outer, "_cell"]]
+    seeds = own.join(more, on(own), "left_semi").drop("_cell").unionByName(nodes.where("start is null or end_pos is null"))
+    return seeds, cells.withColumn("_open", F.lit(False)).unionByName(more.withColumn("_open", F.lit(True)), allowMissingColumns=True)
+
+
+def _in_cells(cells: DataFrame, outer: list[str], rules: Rules, schema: str) -> DataFrame:
+    """Runs of every cell that isn't marked as open."""
+    marked = "_open" in cells.columns
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        if marked:
+            if True in table.column("_open").unique().to_pylist():
+                return
+            table = table.drop_columns(["_open"])
+        for made in Cell(table, tuple(outer), rules).runs():
+            yield from made.combine_chunks().to_batches(max_chunksize=10_000)
+
+    return shipped(cells).groupBy(*outer, "_cell").applyInArrow(grow, schema)
+
+
+def _joined(seeds: DataFrame, nodes: DataFrame, keys: list[str], reach: int, min_overlap: int, edge_span: int, min_edge_span_size: int) -> DataFrame:
+    """Runs that begin with one of ``seeds``, by joins of all runs with all edges."""
     edges = written(direct_successors(nodes, keys, min_overlap).withColumn("gap", F.col("b_start") - F.col("a_end")), "edges")
     out_of = edges.withColumnsRenamed({"a_start": "start", "a_end": "end_pos"})
-    walk = nodes.select(
+    walk = seeds.distinct().select(
         *keys, "start", "end_pos", F.array("start").alias("starts"), F.array("end_pos").alias("ends"),
         F.array().cast("array<bigint>").alias("gaps"), F.lit(0).cast("bigint").alias("bases"),
     )
