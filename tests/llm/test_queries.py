@@ -87,3 +87,17 @@ def test_stages_on_odd_rows(spark, tmp_path):
         assert stages[name](spark, frame.limit(0), folder).count() == 0
     packed = stages["packing"](spark, frame, folder).collect()
     assert sum(r["start"] == 0 for r in packed) == len(rows) and stages["packing"](spark, frame.limit(0), folder).count() == 0
+
+
+def test_stages_called_by_themselves_bound_batches(spark):
+    import corpus_pipeline as cp
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs, before = spark.read.parquet(f"{SF}/documents.parquet").limit(20), spark.conf.get(name)
+    try:
+        for _, stage in cp.STAGES:
+            spark.conf.set(name, str(64 << 20))
+            stage(spark, docs, SF)
+            assert spark.conf.get(name) == str(4 << 20)
+    finally:
+        spark.conf.set(name, before)
